@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adlake.functions import text as tx
 from adlake.functions.jsonx import first_filled, or_null, text
+from adlake.schemas import NAMED
 
 HOURLY = "hourly_stats_aggregated_by_audience_time_zone"
 
@@ -217,7 +217,7 @@ def header_map(headers: Column) -> Column:
 
 def account_refs(df: DataFrame, column: str = "account") -> DataFrame:
     """Accounts given as plain ids or as ``{id, name}`` JSON objects, as two columns."""
-    obj = F.from_json(column, T.DataType.fromDDL("struct<id: string, name: string>"))
+    obj = F.from_json(column, NAMED)
     is_object = F.ltrim(column).startswith("{")
     return df.select(
         F.when(is_object, obj["id"]).otherwise(F.col(column)).alias("account_id"),

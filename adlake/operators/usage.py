@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions import api_errors as ae
-from adlake.operators.latest import top_per_key
+from adlake.operators.latest import latest_per_key
 
 
 def account_usage(rows: DataFrame, keys: Sequence[str] = ("job_id", "account_id")) -> DataFrame:
@@ -156,9 +156,11 @@ def batch_decision(
     ).select(*keys, "summary_wait", "response_wait", "reason", "d.action", "d.seconds")
 
 
-def merge_attempts(answers: DataFrame, keys: Sequence[str], max_attempts: int) -> DataFrame:
+def merge_attempts(
+    answers: DataFrame, keys: Sequence[str], max_attempts: int, ties: Sequence[str] = ()
+) -> DataFrame:
     """The last attempt of every request, and whether it was given up."""
-    last = top_per_key(answers, keys, [F.col("attempt").desc()])
+    last = latest_per_key(answers, keys, "attempt", ties)
     failed = F.col("status_code") != 200
     return last.withColumn("given_up", failed & (F.col("attempt") >= max_attempts))
 

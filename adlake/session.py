@@ -30,6 +30,7 @@ def local_session(app: str = "adlake", cores: str = "*", shuffle_partitions: int
         .appName(app)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
     )

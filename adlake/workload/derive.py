@@ -17,6 +17,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Uses all cores where the scan has fewer splits than that (one small file);
+    large inputs have more and are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # -- insight rows --------------------------------------------------------------------
 
 ENTRIES = 3  # entries per action array
@@ -131,7 +138,7 @@ def insight_landing(spark: SparkSession, folder: str, spec: DailySpec) -> DataFr
         cols["ad_id"] = F.when(F.col("l_linenumber") != 2, own)
     payload = F.to_json(F.struct(*[c.alias(n) for n, c in cols.items()]))
     created = F.col("l_shipdate").cast("timestamp") + F.make_interval(hours=F.col("l_linenumber") + 48)
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         _job_id().alias("job_id"), created.alias("created_at"), payload.alias("data")
     )
 
