@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.functions.jsonx import first_action, number
+from adlake.functions.jsonx import number
 
 
 @dataclass(frozen=True)
@@ -25,13 +25,18 @@ class Metric:
         parent, _, kind = field.partition(":")
         return cls(name, parent, kind or None)
 
-    def column(self, payload: Column) -> Column:
-        source = payload[self.parent]
-        value = number(source) if self.action_type is None else first_action(source, self.action_type)
-        return value.alias(self.name)
+    def column(self, payload: str) -> Column:
+        """The metric as a column. Written as SQL text: a wide model has dozens of these,
+        and text is one call to the JVM where chained functions are ten."""
+        source = f"{payload}.{self.parent}"
+        if self.action_type is not None:
+            kind = self.action_type.replace("'", "\\'")
+            at = f"CAST(array_position({source}.action_type, '{kind}') AS INT) - 1"
+            source = f"get({source}.value, {at})"
+        return F.expr(f"coalesce(try_cast({source} AS DOUBLE), 0D)").alias(self.name)
 
 
-def metric_columns(payload: Column, metrics: Sequence[Metric]) -> list[Column]:
+def metric_columns(payload: str, metrics: Sequence[Metric]) -> list[Column]:
     return [m.column(payload) for m in metrics]
 
 

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlake.functions.jsonx import day, first_filled, number, surrogate_key, text
+from adlake.functions.jsonx import day, first_filled, surrogate_key, text
 from adlake.functions.text import sanitise, sanitise_name
 from adlake.operators.latest import latest_per_key, newer_than
-from adlake.operators.pivot import metric_columns
+from adlake.operators.pivot import Metric, metric_columns
 from adlake.plans import specs
 from adlake.plans.specs import DailySpec
 from adlake.schemas import insight_payload
@@ -48,8 +48,8 @@ def daily(raw: DataFrame, spec: DailySpec, since=None, strict_dates: bool = Fals
         *[_field(p, f, spare.get(f)).alias(out) for out, f in spec.texts],
         day(p["date_start"], strict_dates).alias("date_start"),
         day(p["date_stop"], strict_dates).alias("date_stop"),
-        *[number(p[s]).alias(s) for s in spec.scalars],
-        *metric_columns(p, spec.metrics),
+        *metric_columns("p", [Metric(s, s) for s in spec.scalars]),
+        *metric_columns("p", spec.metrics),
     )
 
 

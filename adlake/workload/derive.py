@@ -83,15 +83,14 @@ def _pick(values: list[str], index: Column) -> Column:
 
 
 def _actions(parent: str) -> Column:
-    kinds = list(specs.action_types(parent))
-    entries = [
-        F.struct(
-            _pick(kinds, (F.col("l_partkey") + e * F.col("l_linenumber")) % len(kinds)).alias("action_type"),
-            (F.col("l_quantity") + e).cast("string").alias("value"),
-        )
+    kinds = specs.action_types(parent)
+    listed = ", ".join(f"'{k}'" for k in kinds)
+    entries = ", ".join(
+        f"named_struct('action_type', get(array({listed}), CAST((l_partkey + {e} * l_linenumber) % {len(kinds)} AS INT)),"
+        f" 'value', CAST(l_quantity + {e} AS STRING))"
         for e in range(ENTRIES)
-    ]
-    return F.when(F.col("l_linenumber") != 7, F.array(*entries))
+    )
+    return F.expr(f"CASE WHEN l_linenumber <> 7 THEN array({entries}) END")
 
 
 def insight_fields(parents: tuple[str, ...]) -> dict[str, Column]:
