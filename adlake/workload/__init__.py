@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("models", "joblogs")
+MODULES = ("models", "joblogs", "telemetry", "requests")
 
 
 def load():
