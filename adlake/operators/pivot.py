@@ -42,16 +42,18 @@ def metric_columns(payload: str, metrics: Sequence[Metric]) -> list[Column]:
 
 def long_actions(df: DataFrame, keys: Sequence[str], payload: str, parents: Sequence[str]) -> DataFrame:
     """One row per array entry: keys, parent, position, action_type, value."""
-    tagged = [
-        F.transform(
-            F.coalesce(F.col(payload)[p], F.array().cast("array<struct<action_type: string, value: string>>")),
-            lambda a, i, p=p: F.struct(
-                F.lit(p).alias("parent"), i.alias("position"), a["action_type"].alias("action_type"), number(a["value"]).alias("value")
-            ),
-        )
-        for p in parents
-    ]
-    return df.select(*keys, F.inline(F.concat(*tagged)))
+    empty = F.array().cast("array<struct<action_type: string, value: string>>")
+
+    def tagged(parent: str) -> Column:
+        def entry(a: Column, i: Column) -> Column:
+            return F.struct(
+                F.lit(parent).alias("parent"), i.alias("position"), a["action_type"].alias("action_type"),
+                number(a["value"]).alias("value"),
+            )
+
+        return F.transform(F.coalesce(F.col(payload)[parent], empty), entry)
+
+    return df.select(*keys, F.inline(F.concat(*[tagged(p) for p in parents])))
 
 
 def pivot_actions(long: DataFrame, keys: Sequence[str], kinds: Sequence[str]) -> DataFrame:

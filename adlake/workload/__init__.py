@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("models", "joblogs", "telemetry", "requests")
+MODULES = ("models", "joblogs", "telemetry", "requests", "nested", "incremental")
 
 
 def load():

@@ -234,9 +234,9 @@ asked AS (
 @query(
     "backoff_decision",
     f"""WITH {TYPED_SQL}, {REASON_SQL}, {SUMMARY_SQL},
-both AS (SELECT batch_id, CAST(greatest(usage_wait, time_wait) AS INTEGER) AS summary_wait, coalesce(response_wait, 0) AS response_wait, reason
+waiting AS (SELECT batch_id, CAST(greatest(usage_wait, time_wait) AS INTEGER) AS summary_wait, coalesce(response_wait, 0) AS response_wait, reason
          FROM asked LEFT JOIN reasons USING (batch_id)),
-w AS (SELECT *, greatest(summary_wait, response_wait) AS wait FROM both)
+w AS (SELECT *, greatest(summary_wait, response_wait) AS wait FROM waiting)
 SELECT batch_id, summary_wait, response_wait, reason,
        CASE WHEN wait > 360 THEN 'abort' WHEN wait > 0 THEN 'wait' ELSE 'none' END AS action,
        CASE WHEN wait > 0 AND wait <= 360 THEN wait + 5 ELSE 0 END AS seconds FROM w""",
