@@ -215,6 +215,12 @@ def header_map(headers: Column) -> Column:
     return F.map_from_entries(last)
 
 
+def header_value(headers: Column, name: str) -> Column:
+    """Last value of one header, without building the whole map."""
+    hits = F.filter(headers, lambda h: F.lower(h["name"]) == name)
+    return F.try_element_at(hits, F.lit(-1))["value"]
+
+
 def account_refs(df: DataFrame, column: str = "account") -> DataFrame:
     """Accounts given as plain ids or as ``{id, name}`` JSON objects, as two columns."""
     obj = F.from_json(column, NAMED)

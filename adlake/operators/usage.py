@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from adlake.functions import api_errors as ae
 from adlake.operators.latest import latest_per_key
+from adlake.operators.unnest import header_value
+
+# Headers that report usage, in lower case.
+THROTTLE_HEADER = "x-fb-ads-insights-throttle"
+USAGE_HEADER = "x-business-use-case-usage"
 
 
 def account_usage(rows: DataFrame, keys: Sequence[str] = ("job_id", "account_id")) -> DataFrame:
@@ -65,19 +70,15 @@ def limits_by_account(answers: DataFrame, keys: Sequence[str] = ("batch_id",)) -
     ``answers`` has ``headers`` as ``[{name, value}]``. Broken or missing header
     JSON counts as absent. Accounts are reported as ``act_<id>``.
     """
-    from adlake.operators.unnest import header_map
-
-    heads = answers.select(*keys, header_map(F.col("headers")).alias("h"))
     throttle = F.from_json(
-        F.try_element_at("h", F.lit("x-fb-ads-insights-throttle")),
-        "struct<app_id_util_pct: double, acc_id_util_pct: double>",
+        header_value(F.col("headers"), THROTTLE_HEADER), "struct<app_id_util_pct: double, acc_id_util_pct: double>"
     )
     uses = F.from_json(
-        F.try_element_at("h", F.lit("x-business-use-case-usage")),
+        header_value(F.col("headers"), USAGE_HEADER),
         "map<string, array<struct<type: string, call_count: int, total_cputime: int, total_time: int,"
         " estimated_time_to_regain_access: int, ads_api_access_tier: string>>>",
     )
-    parsed = heads.select(*keys, throttle.alias("t"), uses.alias("u"))
+    parsed = answers.select(*keys, throttle.alias("t"), uses.alias("u"))
     rows = parsed.select(*keys, "t", F.explode("u").alias("account", "cases"))
     etas = F.transform("cases", lambda c: F.coalesce(c["estimated_time_to_regain_access"], F.lit(0)))
     return (
@@ -91,12 +92,7 @@ def limits_by_account(answers: DataFrame, keys: Sequence[str] = ("batch_id",)) -
 
 
 def app_usage(answers: DataFrame, keys: Sequence[str] = ("batch_id",)) -> DataFrame:
-    from adlake.operators.unnest import header_map
-
-    throttle = F.from_json(
-        F.try_element_at(header_map(F.col("headers")), F.lit("x-fb-ads-insights-throttle")),
-        "struct<app_id_util_pct: double>",
-    )
+    throttle = F.from_json(header_value(F.col("headers"), THROTTLE_HEADER), "struct<app_id_util_pct: double>")
     return answers.groupBy(*keys).agg(F.max(F.coalesce(throttle["app_id_util_pct"], F.lit(0.0))).alias("app_usage_pct"))
 
 

@@ -14,6 +14,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs the next operator a shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods over 8000 bytecodes. A wide model fused into one
+    # such method runs interpreted, three times slower than split projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

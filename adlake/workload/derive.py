@@ -224,7 +224,7 @@ def entity_landing(spark: SparkSession, folder: str) -> DataFrame:
              "Ad Set Daily Report", "Campaign Overview Report"], o % 5,
         ),
     }
-    return table(spark, folder, "orders").select(
+    return spread(table(spark, folder, "orders")).select(
         F.concat(F.lit("job_"), F.lpad(o.cast("string"), 12, "0")).alias("job_id"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"),
         F.to_json(F.struct(*[v.alias(n) for n, v in cols.items()])).alias("data"),

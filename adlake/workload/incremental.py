@@ -13,7 +13,7 @@ from adlake.sources import files, landing
 from adlake.sources.tables import KeyedTable, cache_rows
 from adlake.streaming import counters, ingest, lifecycle
 from adlake.workload import derive as d
-from adlake.workload.derive import table
+from adlake.workload.derive import spread, table
 from adlake.workload.joblogs import LIFECYCLE_SQL, job_events
 from adlake.workload.registry import query
 
@@ -163,7 +163,7 @@ def report_cache(spark, folder):
 
 def _cache_lines(spark, folder):
     text = lambda c: F.col(c).cast("string")
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         F.lit("adv").alias("advertiser_id"), F.lit("st").alias("store_id"),
         F.concat(F.lit("c"), text("l_suppkey")).alias("campaign_id"), F.concat(F.lit("g"), text("l_partkey")).alias("item_group_id"),
         F.concat(F.lit("i"), text("l_orderkey"), F.lit("_"), text("l_linenumber")).alias("item_id"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adlake.operators import joblog as jl
 from adlake.operators import unnest, usage
 from adlake.plans import dashboards
-from adlake.workload.derive import _pick, table
+from adlake.workload.derive import _pick, spread, table
 from adlake.workload.registry import query
 
 AS_OF = "2024-01-31 00:00:00"
@@ -82,7 +82,7 @@ def _summary(e: int):
 
 
 def job_log(spark, folder):
-    ev = table(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    ev = spread(table(spark, folder, "events")).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     n, kind, user = F.col("event_id"), F.col("event_type"), F.col("user_id")
     task = (
         F.when(n % 11 == 0, None).when(n % 19 == 0, "fb_other").when(kind == "click", "facebook_daily")

@@ -13,7 +13,7 @@ from adlake.schemas import texts
 from adlake.session import shared_dir
 from adlake.sources.files import read_pages
 from adlake.workload import derive as d
-from adlake.workload.derive import table
+from adlake.workload.derive import spread, table
 from adlake.workload.registry import query
 
 AS_OF = "2024-01-31 00:00:00"
@@ -296,7 +296,7 @@ def action_payloads(spark, folder):
     )
     made = F.to_json(F.struct(F.expr(f"CASE WHEN l_linenumber <> 7 THEN array({entries}) END").alias("actions")))
     schema = T.StructType([T.StructField("actions", schemas.ACTIONS)])
-    return table(spark, folder, "lineitem").select(*LINE_KEYS, F.from_json(made, schema).alias("p"))
+    return spread(table(spark, folder, "lineitem")).select(*LINE_KEYS, F.from_json(made, schema).alias("p"))
 
 
 def _first_sql(kind):
@@ -373,7 +373,7 @@ def shop_campaigns(spark, folder):
 
 def shop_lines(spark, folder):
     text = lambda c: F.col(c).cast("string")
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         F.concat(F.lit("c"), text("l_suppkey")).alias("campaign_id"),
         F.concat(F.lit("g"), text("l_partkey")).alias("item_group_id"),
         F.concat(F.lit("i"), text("l_orderkey"), F.lit("_"), text("l_linenumber")).alias("item_id"),
@@ -516,7 +516,7 @@ def nested_reports(spark, folder):
     none = F.array().cast(T.ArrayType(schemas.CREATIVE))
     second = F.when(F.col("l_linenumber") % 2 == 0, F.array(creative(2, F.lit("1.5")))).otherwise(none)
     docs = F.when(F.col("l_linenumber") != 5, F.array(product(0, two), product(1, second)))
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         F.col("l_shipdate").cast("date").cast("string").alias("start_date"), text("l_suppkey").alias("campaign_id"),
         F.col("l_returnflag").alias("campaign_name"), F.col("l_linestatus").alias("operation_status"), docs.alias("performance_data"),
     )

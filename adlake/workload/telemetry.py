@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from adlake.functions import api_errors as ae
 from adlake.operators import sets, usage, windows
-from adlake.workload.derive import table
+from adlake.workload.derive import spread, table
 from adlake.workload.joblogs import AS_OF
 from adlake.workload.registry import query
 
@@ -305,7 +305,7 @@ def response_request_order(spark, folder):
 
 def with_headers(spark, folder):
     """Answers with the headers the API sends: usage as JSON text, names in any case."""
-    rows = answers(spark, folder)
+    rows = spread(answers(spark, folder))
     k = F.col("k").cast("string")
     throttle = F.when(F.col("k") % 10 == 9, F.lit("{broken")).otherwise(
         F.concat(F.lit('{"app_id_util_pct": '), k, F.lit(', "acc_id_util_pct": '), ((F.col("k") * 3) % 100).cast("string"), F.lit("}"))
