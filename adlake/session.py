@@ -26,17 +26,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str = "adlake", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str = "adlake", cores: str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None
+) -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
 

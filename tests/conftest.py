@@ -10,8 +10,9 @@ from adlake.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", cores="4", shuffle_partitions=4)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("tests", cores="4", shuffle_partitions=4, checkpoint_dir=shared)
     yield session
     session.stop()
 
