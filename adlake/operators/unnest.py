@@ -175,12 +175,15 @@ def flatten_creatives(campaigns: DataFrame, metrics: Sequence[str]) -> DataFrame
 
 def usage_rows(jobs: DataFrame) -> DataFrame:
     """Job log to one row per (job, batch, account); batches without accounts keep one row."""
-    batches = jobs.select("job_id", F.posexplode("api_total_counts.summaries").alias("batch_index", "s"))
-    accounts = batches.select(
+    # each step keeps only what the next one needs: an exploded row carries no siblings
+    batches = jobs.select("job_id", F.posexplode("api_total_counts.summaries").alias("batch_index", "s")).select(
         "job_id",
         "batch_index",
         F.coalesce(F.col("s.rate_limits.app_usage_pct"), F.lit(0.0)).alias("app_usage_pct"),
-        F.posexplode_outer("s.rate_limits.account_details").alias("account_index", "a"),
+        F.col("s.rate_limits.account_details").alias("details"),
+    )
+    accounts = batches.select(
+        "job_id", "batch_index", "app_usage_pct", F.posexplode_outer("details").alias("account_index", "a")
     )
     uses = F.col("a.business_use_cases")
 

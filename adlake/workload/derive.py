@@ -24,6 +24,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def as_table(df: DataFrame) -> DataFrame:
+    """The derived columns computed once per row, as if read from a table.
+
+    Without it the optimizer copies a derivation into every place that uses one of
+    its fields. The generator in between costs no shuffle.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 # -- insight rows --------------------------------------------------------------------
 
 ENTRIES = 3  # entries per action array

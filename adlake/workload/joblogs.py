@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adlake.operators import joblog as jl
 from adlake.operators import unnest, usage
 from adlake.plans import dashboards
-from adlake.workload.derive import _pick, spread, table
+from adlake.workload.derive import _pick, as_table, spread, table
 from adlake.workload.registry import query
 
 AS_OF = "2024-01-31 00:00:00"
@@ -109,6 +109,12 @@ def job_log(spark, folder):
     )
 
 
+def job_table(spark, folder):
+    """The job log for figures that go through its nested usage."""
+    return as_table(job_log(spark, folder))
+
+
+
 @query("status_counts", WITH + " SELECT status, count(*) AS n FROM jobs GROUP BY status")
 def status_counts(spark, folder):
     return jl.count_by(job_log(spark, folder), "status", missing="undefined")
@@ -155,7 +161,7 @@ def category_zero_fill(spark, folder):
     WITH + _filled(["Product", "Creative", "Other"], f"SELECT {_SHOP_KIND} AS c FROM jobs WHERE {_SHOP}", "category"),
 )
 def shop_category_zero_fill(spark, folder):
-    return jl.shop_kinds(jl.shop_jobs(job_log(spark, folder)))
+    return jl.shop_kinds(jl.shop_jobs(job_table(spark, folder)))
 
 
 @query(
@@ -175,7 +181,7 @@ def status_rollup(spark, folder):
     ),
 )
 def usage_buckets(spark, folder):
-    return jl.usage_buckets(jl.ads_jobs(job_log(spark, folder)))
+    return jl.usage_buckets(jl.ads_jobs(job_table(spark, folder)))
 
 
 @query(
@@ -243,7 +249,7 @@ def job_log_lookup(spark, folder):
   (SELECT CAST(sum(CASE WHEN has_api THEN k % 4 * 5 ELSE 0 END) AS BIGINT) FROM jobs WHERE {_ADS}) AS total_backoff""",
 )
 def ads_batch_totals(spark, folder):
-    return jl.batch_totals(jl.ads_jobs(job_log(spark, folder)))
+    return jl.batch_totals(jl.ads_jobs(job_table(spark, folder)))
 
 
 @query(
@@ -252,7 +258,7 @@ def ads_batch_totals(spark, folder):
   count(*) FILTER (task_type LIKE '%creative%') AS creative_tasks FROM jobs WHERE {_SHOP}""",
 )
 def shop_kind_counts(spark, folder):
-    return jl.kind_counts(jl.shop_jobs(job_log(spark, folder)))
+    return jl.kind_counts(jl.shop_jobs(job_table(spark, folder)))
 
 
 @query(
@@ -271,7 +277,7 @@ def jobs_with_status(spark, folder):
   FROM batches b LEFT JOIN accounts a ON a.job_id = b.job_id AND a.batch_index = b.batch_index""",
 )
 def usage_rows(spark, folder):
-    return unnest.usage_rows(job_log(spark, folder))
+    return unnest.usage_rows(job_table(spark, folder))
 
 
 @query(
@@ -281,7 +287,7 @@ def usage_rows(spark, folder):
   FROM accounts GROUP BY 1, 2""",
 )
 def account_usage(spark, folder):
-    return dashboards.job_detail(job_log(spark, folder))["accounts"]
+    return dashboards.job_detail(job_table(spark, folder))["accounts"]
 
 
 @query(
@@ -291,7 +297,7 @@ def account_usage(spark, folder):
   LEFT JOIN accounts a ON a.job_id = b.job_id AND a.batch_index = b.batch_index GROUP BY 1, 2""",
 )
 def batch_load(spark, folder):
-    return dashboards.job_detail(job_log(spark, folder))["batches"]
+    return dashboards.job_detail(job_table(spark, folder))["batches"]
 
 
 @query(
@@ -303,7 +309,7 @@ def batch_load(spark, folder):
   GROUP BY 1, 2, 3""",
 )
 def padded_series(spark, folder):
-    return dashboards.job_detail(job_log(spark, folder))["series"]
+    return dashboards.job_detail(job_table(spark, folder))["series"]
 
 
 # -- life cycle ----------------------------------------------------------------------

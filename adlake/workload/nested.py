@@ -13,7 +13,7 @@ from adlake.schemas import texts
 from adlake.session import shared_dir
 from adlake.sources.files import read_pages
 from adlake.workload import derive as d
-from adlake.workload.derive import spread, table
+from adlake.workload.derive import as_table, spread, table
 from adlake.workload.registry import query
 
 AS_OF = "2024-01-31 00:00:00"
@@ -516,10 +516,10 @@ def nested_reports(spark, folder):
     none = F.array().cast(T.ArrayType(schemas.CREATIVE))
     second = F.when(F.col("l_linenumber") % 2 == 0, F.array(creative(2, F.lit("1.5")))).otherwise(none)
     docs = F.when(F.col("l_linenumber") != 5, F.array(product(0, two), product(1, second)))
-    return spread(table(spark, folder, "lineitem")).select(
+    return as_table(spread(table(spark, folder, "lineitem")).select(
         F.col("l_shipdate").cast("date").cast("string").alias("start_date"), text("l_suppkey").alias("campaign_id"),
         F.col("l_returnflag").alias("campaign_name"), F.col("l_linestatus").alias("operation_status"), docs.alias("performance_data"),
-    )
+    ))
 
 
 NESTED_SQL = """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from adlake.functions import api_errors as ae
 from adlake.operators import sets, usage, windows
-from adlake.workload.derive import spread, table
+from adlake.workload.derive import as_table, spread, table
 from adlake.workload.joblogs import AS_OF
 from adlake.workload.registry import query
 
@@ -316,14 +316,14 @@ def with_headers(spark, folder):
         (F.col("k") * 2).cast("string"), F.lit('}, {"type": "ads_management"}]}'),
     )
     head = lambda name, value: F.struct(F.lit(name).alias("name"), value.alias("value"))
-    return rows.withColumn(
+    return as_table(rows.withColumn(
         "headers",
         F.array(
             head("X-FB-Ads-Insights-Throttle", F.lit('{"app_id_util_pct": 100}')),
             head("x-fb-ads-insights-throttle", throttle),
             head("X-Business-Use-Case-Usage", cases),
         ),
-    )
+    ))
 
 
 @query(
