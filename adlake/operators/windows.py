@@ -40,19 +40,22 @@ def pending_wait(
 ) -> DataFrame:
     """Per key: how long a caller about to send ``adding`` calls must wait, in seconds.
 
-    The wait ends when enough of the recent calls are older than the window.
+    The wait ends when so many recent calls are older than the window that only
+    ``limit - adding`` are left. The call that decides is therefore the one just
+    before the newest ``limit - adding``, found with a bounded top-k per key.
     """
     moment = F.lit(now).cast("timestamp")
     age = (F.unix_micros(moment) - F.unix_micros(F.col(ts).cast("timestamp"))) / F.lit(1e6)
-    recent = calls.withColumn("__age", age).filter((F.col("__age") >= 0) & (F.col("__age") < seconds))
+    recent = calls.select(F.col(key), age.alias("__age")).filter((F.col("__age") >= 0) & (F.col("__age") < seconds))
     counts = recent.groupBy(key).agg(F.count(F.lit(1)).alias("recent"))
-    # the excess-th oldest call decides; at most `adding` calls per key can be in excess
-    # once the limit is respected, and never more than the ones present
-    excess = F.col("recent") + adding - limit
-    ranked = recent.join(counts.filter(excess > 0), key)
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col("__age").desc()))
-    decisive = ranked.withColumn("__r", rank).filter(F.col("__r") == F.least(excess, F.col("recent")))
-    waits = decisive.select(key, F.greatest(F.lit(seconds) - F.col("__age"), F.lit(0.0)).alias("wait_seconds"))
+    place = max(limit - adding + 1, 1)
+    decisive = (
+        top_per_key(recent, [key], [F.col("__age")], place)
+        .groupBy(key)
+        .agg(F.max("__age").alias("__age"), F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") == place)
+    )
+    waits = decisive.select(key, (F.lit(seconds) - F.col("__age")).alias("wait_seconds"))
     return counts.join(waits, key, "left").withColumn("wait_seconds", F.coalesce("wait_seconds", F.lit(0.0)))
 
 

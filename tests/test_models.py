@@ -10,6 +10,7 @@ from adlake.plans import gold, silver, specs
 from adlake.plans.build import Warehouse, build, daily_schema
 from adlake.schemas import RAW, REGION_SEED
 from adlake.sources import landing
+from adlake.sources.seeds import region_seed
 from adlake.sources.tables import KeyedTable
 
 
@@ -102,6 +103,14 @@ def test_regions(spark, rows):
     assert "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_shipped_seed(spark, rows):
+    seed = region_seed(spark)
+    assert seed.count() == 63 and seed.select("region_code").distinct().count() == 63
+    places = spark.createDataFrame([("Bà Rịa–Vũng Tàu Province", "VN"), ("Hanoi ", "VN")], "region string, country string")
+    got = rows(gold.dim_regions(places, seed), "region")
+    assert [(r["region_code"], r["macro_region"]) for r in got] == [("VN-43", "South"), ("VN-HN", "North")]
+
+
 def test_quality(spark, rows):
     df = spark.createDataFrame([(1, "a"), (1, None), (None, None)], "id int, v string")
     assert not_null(df, "v").count() == 2 and unique(df, "id").count() == 1
