@@ -169,8 +169,6 @@ def kind_counts(jobs: DataFrame) -> DataFrame:
 
 # -- life cycle ----------------------------------------------------------------------
 
-_RANK = {"start": 0, "progress": 1, "end": 2}
-
 
 def lifecycle(events: DataFrame) -> DataFrame:
     """Current state of every job from its ``start``, ``progress`` and ``end`` events.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adlake.operators import joblog as jl
-from adlake.operators import unnest, usage
+from adlake.operators import unnest
 from adlake.plans import dashboards
 from adlake.workload.derive import _pick, as_table, spread, table
 from adlake.workload.registry import query

@@ -54,7 +54,7 @@ def test_first_action_takes_the_first_hit(spark, wide):
 
 def test_surrogate_key_keeps_empty_parts(spark):
     df = spark.createDataFrame([("a", None, "c")], "x string, y string, z string")
-    assert df.select(surrogate_key("x" and F.col("x"), F.col("y"), F.col("z"))).first()[0] == "a__c"
+    assert df.select(surrogate_key(F.col("x"), F.col("y"), F.col("z"))).first()[0] == "a__c"
 
 
 def test_all_zero(spark):
