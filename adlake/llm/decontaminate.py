@@ -15,6 +15,8 @@ from adlake.llm.common import shingles, staged, words
 
 
 def shingled(df: DataFrame, key: str) -> DataFrame:
+    """(key, sh). Unfold ``sh`` with explode_outer: for explode, Spark infers a filter on its size and
+    pushes it below the split into words, which then runs again for every shingle."""
     rows = df.select(F.col(key).cast("long").alias(key), words(F.col("text")).alias("__w")).where(F.col(key).isNotNull() & (F.size("__w") > 0))
     return rows.select(key, shingles(F.col("__w")).alias("sh"))
 
@@ -39,12 +41,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, containment: float = 0.8
     items = shingled(benchmark, "item_id").groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_set("sh"))).alias("sh"))
     items = staged(items, "items")
     probes = staged(sketch(items, containment), "sketch")
-    runs = shingled(docs, "doc_id").select("doc_id", F.size("sh").alias("doc_size"), F.explode("sh").alias("shingle"))
+    runs = shingled(docs, "doc_id").select("doc_id", F.size("sh").alias("doc_size"), F.explode_outer("sh").alias("shingle"))
     hits = runs.join(probes, "shingle").where("doc_size >= needed").select("doc_id", "item_id").distinct()
     hits = staged(hits, "candidates")
     near = docs.join(hits.select(F.col("doc_id").alias("__id")).distinct(), F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
     all_items = items.select("item_id", F.size("sh").alias("item_shingles"), F.explode("sh").alias("shingle"))
-    runs = shingled(near, "doc_id").select("doc_id", F.explode("sh").alias("shingle")).join(all_items, "shingle")
+    runs = shingled(near, "doc_id").select("doc_id", F.explode_outer("sh").alias("shingle")).join(all_items, "shingle")
     found = runs.join(hits, ["doc_id", "item_id"]).groupBy("doc_id", "item_id", "item_shingles").agg(F.count_distinct("shingle").alias("shared"))
     found = found.withColumn("containment", F.col("shared") / F.col("item_shingles"))
     return found.where(F.col("shared") >= containment * F.col("item_shingles") - 1e-9).select("doc_id", "item_id", "shared", "item_shingles", "containment")
