@@ -41,12 +41,13 @@ def association(terms: list[np.ndarray], labels: np.ndarray, keep: int) -> np.nd
     flat = np.concatenate([*terms, np.zeros(0, np.int64)]).astype(np.int64)
     df = np.bincount(flat, minlength=BUCKETS).astype(float)
     hit = np.bincount(flat, weights=np.repeat(labels, sizes), minlength=BUCKETS)
-    used = np.flatnonzero(df >= 3)
+    used = np.flatnonzero(df >= max(3, 0.002 * n))
     df, hit = df[used], hit[used]
     gain = np.zeros(len(used))
     for seen, expected in ((hit, df * positive / n), (df - hit, df * (1 - positive / n)), (positive - hit, (n - df) * positive / n), (n - positive - df + hit, (n - df) * (1 - positive / n))):
         gain += seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
-    return used[np.lexsort((used, -gain))[:keep]]
+    order = np.lexsort((used, -gain))[:keep]
+    return used[order[gain[order] >= 5]]  # below that, chance alone explains it
 
 
 @dataclass
@@ -65,7 +66,7 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(raw, -30, 30))))
 
 
-def fit(terms: list[np.ndarray], labels: np.ndarray, keep: int = TERMS, factors: int = FACTORS, steps: int = 250, decay: float = 2e-4) -> Machine:
+def fit(terms: list[np.ndarray], labels: np.ndarray, keep: int = TERMS, factors: int = FACTORS, steps: int = 250, decay: float = 5e-4) -> Machine:
     """Fits by Adam on the regularised logistic loss. Without rows the machine scores 0.5."""
     labels = np.asarray(labels, np.float32)
     if not len(labels):
