@@ -15,7 +15,7 @@ from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.llm.common import map_batches, shingles, staged, words
@@ -24,6 +24,8 @@ COORDINATES, BAND = 180, 6
 FIRST_REGION = 2.0**-5
 #: Elements hashed at a time, and pairs of one pivot that share a task.
 BLOCK, PIVOT_PAIRS = 300_000, 500
+#: Texts of a bucket that its others are checked against before the exact search for the rest.
+PIVOTS = 3
 
 
 def mix(x: np.ndarray, salt: int) -> np.ndarray:
@@ -146,13 +148,65 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def placed(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, id, root) of the buckets whose texts are in several components."""
+    place = shared.select("bucket", F.col("b").alias("id")).join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+    mixed = place.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
+    return staged(place.join(mixed, "bucket"), "places")
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (id, root) after adding the links (a, b), which are found between components."""
+    if links.isEmpty():
+        return roots
+    at = [roots.select(F.col("id").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"]
+    ends = links.join(at[0], "a", "left").join(at[1], "b", "left")
+    moved = components(ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))).select(F.col("id").alias("root"), F.col("root").alias("to"))
+    every = roots.union(links.select("a", "a")).union(links.select("b", "b"))
+    every = every.groupBy("id").agg(F.min("root").alias("root"))
+    return staged(every.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")), "labels")
+
+
+def pivot_pairs(place: DataFrame, pivots: int) -> DataFrame:
+    """Pairs (a, b) of the bucket's texts with a few of them, chosen by hash, where the components differ."""
+    chosen = place.groupBy("bucket").agg(*[F.min_by(F.struct("id", "root"), F.xxhash64("id", F.lit(i))).alias(f"p{i}") for i in range(pivots)])
+    chosen = chosen.select("bucket", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(pivots)]))).alias("p"))
+    pairs = place.join(chosen, "bucket").where("root <> p.root")
+    return pairs.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+
+
+def prefix_pairs(place: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) in different components that can have the similarity, of which one is a stray of a bucket.
+
+    A stray is a text outside the largest component of one of its buckets; two texts of a bucket in
+    different components are never both outside the strays. Shingles are ordered from rare to common. Two
+    similar sets share a shingle in their first places, and with the first one they share, what follows
+    in the shorter rest must still suffice.
+    """
+    main = place.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    strays = place.join(main, "bucket").groupBy("id", "root").agg(F.max(F.col("root") != F.col("main")).alias("stray"))
+    runs = strays.join(texts, "id").select("id", "root", "stray", F.size("sh").alias("n"), F.explode("sh").alias("s"))
+    runs = staged(runs, "strays")
+    often = runs.groupBy("s").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "s"))
+    first = runs.join(often, "s").withColumn("k", rank).where(F.col("k") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1).where("df > 1")
+    first = staged(first.select("s", "id", "root", "stray", "n", "k"), "prefixes")
+    x, y = first.where("stray").alias("x"), first.alias("y")
+    size = (F.col("x.n") >= similarity * F.col("y.n")) & (F.col("y.n") >= similarity * F.col("x.n"))
+    most = 1 + F.least(F.col("x.n") - F.col("x.k"), F.col("y.n") - F.col("y.k"))
+    enough = most >= similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-9
+    pairs = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.root") != F.col("y.root")) & size & enough)
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """Per document: doc_id, class_id (the smallest doc_id of its group), kept (whether it is that one).
 
     Groups are the connected components of the pairs whose sets of five-word shingles have at least
     that Jaccard similarity; texts with the same words are one node, the smallest doc_id. Within a
-    bucket all texts are checked against the smallest one; what is not yet in one component is then
-    checked against each other component of the bucket. Rows with one doc_id are one document.
+    bucket all texts are checked against the smallest one, then, where several components are left,
+    against ``PIVOTS`` others. Pairs of a bucket that are then still in different components are found by
+    an exact search over the rarest shingles, so none of similarity is left out. Rows with one doc_id are one document.
     Documents without words are groups of their own; rows with a null doc_id get a null class and are
     kept. An empty table gives no rows.
     """
@@ -166,13 +220,10 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     texts = staged(texts.groupBy("id").agg(F.min("__w").alias("__w")).select("id", shingles(F.col("__w")).alias("sh")), "texts")
     first = staged(verified(shared.where("a < b").select("a", "b").distinct(), texts, similarity), "links")
     roots = components(first)
-    place = staged(shared.select("bucket", F.col("b").alias("id")).join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root")), "places")
-    heads = place.groupBy("bucket", "root").agg(F.min("id").alias("head"))
-    mixed = heads.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    heads = heads.join(mixed, "bucket").select("bucket", "head", F.col("root").alias("other"))
-    more = place.join(heads, "bucket").where("root <> other").select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).distinct()
-    second = staged(verified(more, texts, similarity), "links")
-    roots = components(first.union(second))
+    place = placed(shared, roots)
+    roots = merged(roots, staged(verified(pivot_pairs(place, PIVOTS), texts, similarity), "links"))
+    place = placed(shared, roots)
+    roots = merged(roots, staged(verified(prefix_pairs(place, texts, similarity), texts, similarity), "links"))
     same = rows.join(nodes.select("key", "id"), "key").select("doc_id", "id").join(roots, "id", "left")
     same = same.groupBy("doc_id").agg(F.min(F.coalesce("root", "id")).alias("class_id"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).groupBy("doc_id").count()
