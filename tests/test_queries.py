@@ -45,7 +45,10 @@ def test_same_as_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    from adlake.workload import load
+
+    queries, sql = load()
+    assert set(queries) == set(sql)
 
 
 def test_entry(spark):
