@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import decontaminate, language, line_dedup, near_dup, packing, secrets, token_counts, topk, toxicity, url_filter
+from adlake.llm import best_fit, decontaminate, language, line_dedup, near_dup, packing, secrets, token_counts, topk, toxicity, url_filter
 from adlake.llm.common import table
 
 
@@ -64,7 +64,14 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_line_dedup, op4_url_filter, op5_topk, op6_language, op7_packing, op8_token_counts, op9_near_duplicates, op10_secrets)}
+def op11_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit.best_fit(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_toxicity, op2_decontamination, op3_line_dedup, op4_url_filter, op5_topk, op6_language, op7_packing, op8_token_counts, op9_near_duplicates, op10_secrets, op11_best_fit)
+}
 
 WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 SHINGLES = "list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end)"
