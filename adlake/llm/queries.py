@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import best_fit, decontaminate, language, line_dedup, near_dup, packing, secrets, token_counts, topk, toxicity, url_filter
+from adlake.llm import best_fit, decontaminate, hard_negatives, language, line_dedup, near_dup, packing, secrets, token_counts, topk, toxicity, url_filter
 from adlake.llm.common import table
 
 
@@ -68,9 +68,13 @@ def op11_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit.best_fit(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_decontamination, op3_line_dedup, op4_url_filter, op5_topk, op6_language, op7_packing, op8_token_counts, op9_near_duplicates, op10_secrets, op11_best_fit)
+    for f in (op1_toxicity, op2_decontamination, op3_line_dedup, op4_url_filter, op5_topk, op6_language, op7_packing, op8_token_counts, op9_near_duplicates, op10_secrets, op11_best_fit, op12_hard_negatives)
 }
 
 WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
@@ -91,4 +95,17 @@ SQL = {
             from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
         select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
         from s qualify rank <= 5""",
+    "op12_hard_negatives": """
+        with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) v from embeddings
+            where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select a.vec_id anchor_id, a.label alabel, c.vec_id, c.label,
+                coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda x: x[1] * x[2])), 0) score
+            from v a join v c on a.vec_id % 100 = 0 and c.vec_id <> a.vec_id),
+        p as (select anchor_id, vec_id positive_id, score positive_score from s where label = alabel
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+        n as (select p.anchor_id, positive_id, s.vec_id negative_id, positive_score, s.score negative_score from p join s
+            on s.anchor_id = p.anchor_id and s.label <> s.alabel and 80 * positive_score <= 100 * s.score and s.score <= positive_score)
+        select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by negative_score desc, negative_id) as int) as rank,
+            negative_id, positive_score, negative_score from n qualify rank <= 5""",
 }
