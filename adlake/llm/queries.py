@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import best_fit, decontaminate, hard_negatives, language, line_dedup, near_dup, packing, secrets, token_counts, topk, toxicity, url_filter
+from adlake.llm import alignment, best_fit, decontaminate, hard_negatives, language, line_dedup, near_dup, packing, secrets, token_counts, topk, toxicity, url_filter
 from adlake.llm.common import table
 
 
@@ -72,9 +72,13 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(table(spark, folder, "embeddings"))
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_decontamination, op3_line_dedup, op4_url_filter, op5_topk, op6_language, op7_packing, op8_token_counts, op9_near_duplicates, op10_secrets, op11_best_fit, op12_hard_negatives)
+    for f in (op1_toxicity, op2_decontamination, op3_line_dedup, op4_url_filter, op5_topk, op6_language, op7_packing, op8_token_counts, op9_near_duplicates, op10_secrets, op11_best_fit, op12_hard_negatives, op13_alignment)
 }
 
 WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
