@@ -66,3 +66,15 @@ def test_pieces_against_the_library(spark):
         assert list(seq.offset) == list(seq.length.cumsum() - seq.length)
     assert got.groupby("sequence_id").ngroups == -(-got.length.sum() // 2048)
     assert best_fit.best_fit(docs.where("false"), path).count() == 0
+
+
+def test_remembered_pieces_give_the_library_ids():
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["It's a test, isn't it?", "two  spaces", " lead", "trail ", "line\n next", "tab\t x", "nbsp here", "", "<|endoftext|>x y", "émigré café 123 4,5"]
+    encode = best_fit.Encoder(path, remembered=50)
+    for _ in range(2):
+        got = encode(texts)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
