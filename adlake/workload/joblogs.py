@@ -364,3 +364,57 @@ FROM fixed GROUP BY job_id"""
 @query("job_lifecycle", LIFECYCLE_SQL)
 def job_lifecycle(spark, folder):
     return jl.lifecycle(job_events(table(spark, folder, "events")))
+
+
+# -- whole dashboards, one scan each --------------------------------------------------------
+
+_WEEK = f"start_time >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY"
+
+
+def _top(card, key, where, n):
+    return (
+        f"SELECT * FROM (SELECT '{card}' AS card, k AS key, CAST(n AS DOUBLE) AS value, CAST(row_number() OVER (ORDER BY n DESC, k) AS INTEGER) AS position"
+        f" FROM (SELECT {key} AS k, count(*) AS n FROM c WHERE {where} GROUP BY 1) QUALIFY position <= {n})"
+    )
+
+
+@query(
+    "overview_dashboard",
+    WITH + f""", c AS (SELECT * FROM jobs WHERE {_WEEK})
+SELECT 'kpis' AS card, 'total_tasks' AS key, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS INTEGER) AS position FROM c
+UNION ALL SELECT 'kpis', 'successful_tasks', count(*) FILTER (status = 'SUCCESS'), NULL FROM c
+UNION ALL SELECT 'kpis', 'success_rate', coalesce(round(100.0 * count(*) FILTER (status = 'SUCCESS') / nullif(count(*), 0), 1), 0), NULL FROM c
+UNION ALL SELECT 'kpis', 'avg_duration', coalesce(round(avg(duration_seconds) FILTER (duration_seconds > 0), 1), 0), NULL FROM c
+UNION ALL SELECT 'kpis', 'unique_users', count(DISTINCT user_email) FILTER (user_email LIKE '%@%'), NULL FROM c
+UNION ALL SELECT 'by_status', coalesce(nullif(status, ''), 'undefined'), count(*), NULL FROM c GROUP BY 2
+UNION ALL SELECT 'by_task_type', coalesce(nullif(task_type, ''), 'Unknown'), count(*), NULL FROM c GROUP BY 2
+UNION ALL {_top("top_users", "nullif(user_email, '')", "nullif(user_email, '') IS NOT NULL", 5)}
+UNION ALL {_top("top_failed_users", "coalesce(nullif(user_email, ''), 'Unknown')", "status IN ('FAILED', 'FAILURE')", 10)}""",
+)
+def overview_dashboard(spark, folder):
+    return dashboards.overview_cards(job_log(spark, folder), "7d", AS_OF)
+
+
+def _filled_card(card, spine, source):
+    rows = ", ".join(f"('{v}')" for v in spine)
+    return f"SELECT '{card}', s.c, CAST(count(x.c) AS DOUBLE), NULL FROM (VALUES {rows}) s(c) LEFT JOIN ({source}) x ON x.c = s.c GROUP BY s.c"
+
+
+_BUCKET = (
+    "CASE WHEN app_usage_pct >= 95 THEN 'Critical (>95%)' WHEN app_usage_pct >= 75 THEN 'Warning (75-95%)' ELSE 'Safe (<75%)' END"
+)
+
+
+@query(
+    "ads_dashboard",
+    WITH + f""", c AS (SELECT * FROM jobs WHERE {_ADS} AND {_WEEK}), b AS (SELECT * FROM batches WHERE job_id IN (SELECT job_id FROM c))
+SELECT 'totals' AS card, 'total_tasks' AS key, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS INTEGER) AS position FROM c
+UNION ALL SELECT 'totals', 'total_batches', count(*), NULL FROM b
+UNION ALL SELECT 'totals', 'success_batches', count(*) FILTER (success_count > 0 AND error_count = 0), NULL FROM b
+UNION ALL SELECT 'totals', 'total_backoff', coalesce(sum(CASE WHEN has_api THEN k % 4 * 5 ELSE 0 END), 0), NULL FROM c
+UNION ALL {_filled_card("usage", ["Safe (<75%)", "Warning (75-95%)", "Critical (>95%)"], f"SELECT {_BUCKET} AS c FROM b")}
+UNION ALL {_filled_card("by_kind", ["Daily", "Performance", "Breakdown", "Other"], f"SELECT {_ADS_KIND} AS c FROM c")}
+UNION ALL {_filled_card("by_status", ["Success", "Failed", "Cancelled", "Started"], f"SELECT {_GROUP} AS c FROM c")}""",
+)
+def ads_dashboard(spark, folder):
+    return dashboards.ads_cards(job_table(spark, folder), "7d", AS_OF)

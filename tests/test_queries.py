@@ -14,6 +14,7 @@ COMPARED = [
     "stg_ad_metadata", "dim_ads", "usage_buckets", "overview_kpis", "padded_series", "job_lifecycle", "hourly_dense", "sliding_6h",
     "fixed_quota", "backoff_decision", "rate_limit_summary", "factor_chunks", "cache_hit_miss", "url_redact", "insight_entity_join",
     "performance_report", "group_join_children", "nested_zero_filter", "latest_per_key", "delete_insert", "stream_hourly_calls",
+    "overview_dashboard", "ads_dashboard",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -66,3 +67,13 @@ def test_columns_and_filters_reach_the_scan(spark):
     plan = entry_points.queries()["concat_waves"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
     assert "o_orderpriority" not in plan
+
+
+@pytest.mark.parametrize("name", ["overview_dashboard", "ads_dashboard"])
+def test_dashboards_read_the_log_once(spark, name):
+    df = entry_points.queries()[name](spark, FOLDER)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the overview reads its written aggregate, whose one scan of the log ran when it was written
+    assert final.count("events.parquet") == (0 if name == "overview_dashboard" else 1)
+    assert "Python" not in final
