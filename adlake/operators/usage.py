@@ -91,6 +91,49 @@ def limits_by_account(answers: DataFrame, keys: Sequence[str] = ("batch_id",)) -
     )
 
 
+USE_CASES = "array<struct<type: string, call_count: int, total_cputime: int, total_time: int, estimated_time_to_regain_access: int>>"
+
+
+def summaries_from_headers(answers: DataFrame, keys: Sequence[str] = ("batch_id",), order: str = "request_index") -> DataFrame:
+    """One ``rate_limits`` struct per batch, read from the raw headers of its answers.
+
+    Both usage headers are parsed as VARIANT, so the accounts of the use-case header (its keys) need
+    no schema. Of several headers of one name in an answer the last counts; of the answers of a batch
+    the one latest in ``order`` wins: for the app's usage, the last answer whose throttle header gives
+    it; for an account, the last answer that reports it, with that answer's account usage. A header
+    that is missing or does not parse gives nothing; a batch whose answers report no account has an
+    empty account list.
+    """
+    keys = list(keys)
+    spark = answers.sparkSession
+    parsed = answers.select(
+        *keys, order,
+        F.try_parse_json(header_value(F.col("headers"), THROTTLE_HEADER)).alias("t"),
+        F.try_parse_json(header_value(F.col("headers"), USAGE_HEADER)).alias("u"),
+    )
+    app = parsed.select(*keys, order, F.try_variant_get("t", "$.app_id_util_pct", "double").alias("app_usage_pct"))
+    app = latest_per_key(app.filter(F.col("app_usage_pct").isNotNull()), keys, order).drop(order)
+    reported = parsed.lateralJoin(spark.tvf.variant_explode(F.col("u").outer())).select(
+        *keys, order, F.concat(F.lit("act_"), F.col("key")).alias("account_id"),
+        F.try_variant_get("t", "$.acc_id_util_pct", "double").alias("insights_usage_pct"),
+        F.coalesce(F.try_variant_get("value", "$", USE_CASES), F.array().cast(USE_CASES)).alias("cases"),
+    )
+    last = latest_per_key(reported, [*keys, "account_id"], order)
+    etas = F.transform("cases", lambda c: F.coalesce(c["estimated_time_to_regain_access"], F.lit(0)))
+    account = F.struct(
+        "account_id", "insights_usage_pct", F.coalesce(F.array_max(etas), F.lit(0)).alias("eta_seconds"),
+        F.transform("cases", lambda c: c.dropFields("estimated_time_to_regain_access")).alias("business_use_cases"),
+    )
+    details = last.groupBy(*keys).agg(F.array_sort(F.collect_list(account)).alias("account_details"))
+    batches = answers.select(*keys).distinct()
+    both = batches.join(app, keys, "left").join(details, keys, "left")
+    limits = F.struct(
+        F.coalesce("app_usage_pct", F.lit(0.0)).alias("app_usage_pct"),
+        F.coalesce("account_details", F.array().cast(details.schema["account_details"].dataType)).alias("account_details"),
+    )
+    return both.select(*keys, limits.alias("rate_limits"))
+
+
 def app_usage(answers: DataFrame, keys: Sequence[str] = ("batch_id",)) -> DataFrame:
     throttle = F.from_json(header_value(F.col("headers"), THROTTLE_HEADER), "struct<app_id_util_pct: double>")
     return answers.groupBy(*keys).agg(F.max(F.coalesce(throttle["app_id_util_pct"], F.lit(0.0))).alias("app_usage_pct"))

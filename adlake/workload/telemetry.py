@@ -369,3 +369,26 @@ def batch_plan(spark, folder):
     """Customers as ids, numbered into batches of 35 requests."""
     ids = sets.distinct_ids(table(spark, folder, "customer"), "c_custkey")
     return sets.with_batch(ids, "c_custkey", 35).groupBy("batch_id").agg(F.count(F.lit(1)).alias("requests"))
+
+
+@query(
+    "backoff_from_headers",
+    f"""WITH {TYPED_SQL}, {REASON_SQL},
+h AS (SELECT batch_id, request_index, CASE WHEN k % 10 <> 9 THEN k END AS app, CASE WHEN k % 10 <> 9 THEN (k * 3) % 100 END AS acc,
+             concat('act_', event_id % 7) AS account_id, k * 2 AS eta FROM answers),
+app AS (SELECT batch_id, app FROM h WHERE app IS NOT NULL QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY request_index DESC) = 1),
+acct AS (SELECT batch_id, greatest({_BAND('coalesce(acc, 0)', 95, 300, 75, 60)}, eta) AS wait FROM h
+         QUALIFY row_number() OVER (PARTITION BY batch_id, account_id ORDER BY request_index DESC) = 1),
+asked AS (SELECT b.batch_id, CAST(greatest({_BAND('coalesce(app.app, 0)', 95, 300, 75, 60)}, max(acct.wait)) AS INTEGER) AS summary_wait
+          FROM (SELECT DISTINCT batch_id FROM answers) b LEFT JOIN app USING (batch_id) LEFT JOIN acct USING (batch_id) GROUP BY b.batch_id, app.app),
+w AS (SELECT batch_id, summary_wait, coalesce(response_wait, 0) AS response_wait, reason, greatest(summary_wait, coalesce(response_wait, 0)) AS wait
+      FROM asked LEFT JOIN reasons USING (batch_id))
+SELECT batch_id, summary_wait, response_wait, reason,
+       CASE WHEN wait > 360 THEN 'abort' WHEN wait > 0 THEN 'wait' ELSE 'none' END AS action,
+       CASE WHEN wait > 0 AND wait <= 360 THEN wait + 5 ELSE 0 END AS seconds FROM w""",
+)
+def backoff_from_headers(spark, folder):
+    """Wait, abort or go on per batch, from the raw headers of its answers and their errors."""
+    rows = with_headers(spark, folder)
+    return usage.batch_decision(usage.with_errors(rows), usage.summaries_from_headers(rows))
+
