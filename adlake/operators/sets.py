@@ -71,3 +71,28 @@ def with_batch(df: DataFrame, key: str, size: int, buckets: int = 256) -> DataFr
         .withColumn("batch_id", F.floor((F.col("__start") + F.col("__rank")) / F.lit(size)).cast("bigint"))
         .drop("__b", "__start", "__rank")
     )
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str = "row_number") -> DataFrame:
+    """Row numbers from 0 in the order of ``order`` (ties in any order), and no task sees all rows.
+
+    A range shuffle puts neighbouring rows in one partition, sorted there; a row's number is its place
+    in its partition plus the rows of all partitions before it. Those starts come from one count per
+    partition, a table as long as the partition count. Both uses of the sorted rows share one shuffle.
+    """
+    from pyspark.sql import Window
+
+    low = (1 << 33) - 1
+    tagged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    tagged = tagged.withColumn("__part", F.shiftright("__id", 33))
+    sizes = tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    out = tagged.join(F.broadcast(starts), "__part")
+    return out.withColumn(name, F.col("__start") + F.col("__id").bitwiseAND(F.lit(low))).drop("__id", "__part", "__start")
+
+
+def with_batch_in_order(df: DataFrame, key: str, size: int) -> DataFrame:
+    """Number ids into batches of ``size`` in the order of ``key`` (0, 1, 2, …), only the last one short."""
+    rows = numbered(df, [key], "__row")
+    return rows.withColumn("batch_id", F.floor(F.col("__row") / F.lit(size)).cast("bigint")).drop("__row")

@@ -371,6 +371,16 @@ def batch_plan(spark, folder):
     return sets.with_batch(ids, "c_custkey", 35).groupBy("batch_id").agg(F.count(F.lit(1)).alias("requests"))
 
 
+@query(
+    "batch_members",
+    "SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_custkey) - 1) // 35 AS BIGINT) AS batch_id FROM (SELECT DISTINCT c_custkey FROM customer)",
+)
+def batch_members(spark, folder):
+    """Every customer id with its batch of 35, in id order."""
+    ids = sets.distinct_ids(table(spark, folder, "customer"), "c_custkey")
+    return sets.with_batch_in_order(ids, "c_custkey", 35)
+
+
 @query(
     "backoff_from_headers",
     f"""WITH {TYPED_SQL}, {REASON_SQL},
