@@ -15,24 +15,27 @@ def sliding_count(
 ) -> DataFrame:
     """Calls of the same key in the ``seconds`` up to and including each call (older end open).
 
-    The time line is cut into slices of ``slice_factor`` windows, and the last
-    window of a slice is repeated as history in the next one. Each slice is
-    counted by itself, so a key with a third of all calls is spread over as many
-    tasks as it has slices.
+    Linear in the calls: each call adds 1 at its time and takes it away at its time plus the window;
+    the count at a moment is the running sum of these steps. Steps are summed per key and moment, and
+    the running sum is taken per slice of ``slice_factor`` windows, starting from the carry of all
+    earlier slices of the key (one row per slice). A key with a third of all calls is spread over as
+    many tasks as it has slices, and no call is counted more than twice. Null keys form a key of their own.
     """
     span = seconds * 1_000_000
     width = span * slice_factor
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    marked = calls.withColumn("__us", micros).withColumn("__slice", F.floor(F.col("__us") / F.lit(width)))
-    near_end = F.pmod(F.col("__us"), F.lit(width)) >= width - span
-    copies = F.when(near_end, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    spread = marked.withColumn("__copy", F.explode(copies)).withColumn("__slice", F.col("__slice") + F.col("__copy"))
-    frame = Window.partitionBy(key, "__slice").orderBy("__us").rangeBetween(-(span - 1), 0)
-    return (
-        spread.withColumn(out, F.count(F.lit(1)).over(frame))
-        .filter(F.col("__copy") == 0)
-        .drop("__us", "__slice", "__copy")
+    marked = calls.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
+    steps = marked.select(F.col(key).alias("__k"), F.col("__us").alias("__t"), F.lit(1).alias("__d")).unionByName(
+        marked.select(F.col(key).alias("__k"), (F.col("__us") + F.lit(span)).alias("__t"), F.lit(-1).alias("__d"))
     )
+    net = steps.groupBy("__k", "__t").agg(F.sum("__d").alias("__net")).withColumn("__slice", F.floor(F.col("__t") / F.lit(width)))
+    totals = net.groupBy("__k", "__slice").agg(F.sum("__net").alias("__total"))
+    earlier = Window.partitionBy("__k").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select("__k", "__slice", F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__carry"))
+    running = Window.partitionBy("__k", "__slice").orderBy("__t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    level = net.withColumn("__run", F.sum("__net").over(running)).join(carry, ["__k", "__slice"])
+    level = level.select("__k", "__t", (F.col("__run") + F.col("__carry")).alias(out))
+    joined = marked.join(level, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__us") == F.col("__t")))
+    return joined.drop("__us", "__k", "__t")
 
 
 def pending_wait(

@@ -77,3 +77,9 @@ def test_dashboards_read_the_log_once(spark, name):
     # the overview reads its written aggregate, whose one scan of the log ran when it was written
     assert final.count("events.parquet") == (0 if name == "overview_dashboard" else 1)
     assert "Python" not in final
+
+
+@pytest.mark.parametrize("name", ["sliding_20s", "sliding_6h"])
+def test_sliding_counts_have_no_range_frame(spark, name):
+    plan = entry_points.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "RangeFrame" not in plan and "CartesianProduct" not in plan
