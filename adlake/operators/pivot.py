@@ -70,3 +70,24 @@ def sum_actions(long: DataFrame, keys: Sequence[str], kinds: Sequence[str]) -> D
     return long.groupBy(*keys).agg(
         *[F.coalesce(F.sum(F.when(F.col("action_type") == k, F.col("value"))), F.lit(0.0)).alias(k) for k in kinds]
     )
+
+
+def catalogue_pivot(df: DataFrame, keys: Sequence[str], payload: str, catalogue: DataFrame, max_names: int = 10_000) -> DataFrame:
+    """Metrics named by a catalogue table (name, parent, action_type) as columns of ``df``'s rows.
+
+    Each metric is the value of the first entry of its type in its parent array (by position), 0 where
+    there is none or it is not a number. The action arrays are unfolded once, joined to the
+    catalogue and pivoted over the names the catalogue holds, read at run time: changing the table
+    changes the columns. The catalogue is sent whole to every task, so it may hold at most
+    ``max_names`` names. Rows keep one output row per key, also without any action.
+    """
+    entries = catalogue.select("name", "parent", "action_type").dropDuplicates(["parent", "action_type", "name"])
+    names = [r[0] for r in entries.select("name").distinct().orderBy("name").limit(max_names + 1).collect()]
+    if len(names) > max_names:
+        raise ValueError(f"a catalogue of more than {max_names} names")
+    parents = sorted({r[0] for r in entries.select("parent").distinct().collect()})
+    long = long_actions(df, keys, payload, parents)
+    hits = long.join(F.broadcast(entries), ["parent", "action_type"])
+    wide = hits.groupBy(*keys).pivot("name", names).agg(F.min_by("value", "position"))
+    out = df.select(*keys).join(wide, list(keys), "left")
+    return out.select(*keys, *[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(n) for n in names])
