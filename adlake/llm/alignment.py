@@ -14,9 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections import Counter
 from collections.abc import Iterator
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.bpe import byte_letters
-from adlake.llm.common import map_batches, staged
+from adlake.llm.common import map_batches, ragged, staged
 
 #: Pairs sent whole to every task at most; a larger table is joined by a shuffle.
 BROADCAST_PAIRS = 500_000
-DOCS = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links array<struct<a:int,b:int,m:int>>"
+DOCS = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, link_a array<int>, link_b array<int>, link_m array<int>"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -40,54 +38,61 @@ class Aligner:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        from adlake.llm.best_fit import Encoder
+
+        library = Tokenizer.from_file(path_a)
+        # A's ids: the library's, by pieces remembered per task and merged by rank; special strings as plain text
+        self.encode_a = Encoder(path_a, special=False)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = {c: i for i, c in enumerate(byte_letters())}
-        self.bytes_a = [bytes(letters[c] for c in (self.a.id_to_token(i) or "")) if all(c in letters for c in (self.a.id_to_token(i) or "")) else (self.a.id_to_token(i) or "").encode() for i in range(self.a.get_vocab_size())]
+        token = [library.id_to_token(i) or "" for i in range(library.get_vocab_size())]
+        self.bytes_a = [bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in token]
         self.bytes_b = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.flat_a, self.start_a = np.frombuffer(b"".join(self.bytes_a), np.uint8), np.cumsum(self.size_a) - self.size_a
+        self.flat_b, self.start_b = np.frombuffer(b"".join(self.bytes_b), np.uint8), np.cumsum(self.size_b) - self.size_b
+        # decimal ids with the separator that follows them: within a group, after its last A id, after its last B id
+        self.name_a = {sep: np.array([f"{i}{sep}".encode() for i in range(len(self.bytes_a))], object) for sep in (",", "|")}
+        self.name_b = {sep: np.array([f"{i}{sep}".encode() for i in range(len(self.bytes_b))], object) for sep in (",", ";", "")}
 
     def __call__(self, texts: list[str]) -> list[tuple]:
-        """(n_a, n_b, n_groups, n_links, groups_sha256, links) per text; see ``align``."""
+        """(n_a, n_b, n_groups, n_links, groups_sha256, link_a, link_b, link_m) per text; see ``align``."""
         live = [i for i, t in enumerate(texts) if t]
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + texts[i] for i in live], add_special_tokens=False)] if live else []
+        ids_a = [np.frombuffer(x, "<u4").astype(np.int64) for x in self.encode_a.with_space([texts[i] for i in live])] if live else []
         ids_b = self.b.encode([texts[i] for i in live]) if live else []
-        out = [(0, 0, 0, 0, "", [])] * len(texts)
+        out = [NONE] * len(texts)
         for i, a, b in zip(live, ids_a, ids_b):
-            out[i] = self.align(texts[i], np.asarray(a, np.int64), np.asarray(b, np.int64))
+            out[i] = self.align(texts[i], a, np.asarray(b, np.int64))
         return out
 
     def align(self, text: str, a: np.ndarray, b: np.ndarray) -> tuple:
-        whole = (" " + text).encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-            return (0, 0, 0, 0, "", [])
+        whole = np.frombuffer((" " + text).encode(), np.uint8)
+        for ids, flat, start, size in ((a, self.flat_a, self.start_a, self.size_a), (b, self.flat_b, self.start_b, self.size_b)):
+            n = size[ids]
+            if n.sum() != len(whole) or not np.array_equal(flat[ragged(start[ids], n)], whole):
+                return NONE
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        cuts = np.intersect1d(end_a, end_b)
-        # tokens up to and including each cut; an empty token at a cut ends there too
-        last_a, last_b = np.searchsorted(end_a, cuts, "right"), np.searchsorted(end_b, cuts, "right")
-        first_a, first_b = np.searchsorted(end_a, cuts, "left"), np.searchsorted(end_b, cuts, "left")
-        sep_a = np.full(len(a), ",", object)
-        sep_a[last_a - 1] = "|"
-        sep_b = np.full(len(b), ",", object)
-        sep_b[last_b - 1] = ";"
-        sep_b[-1] = ""
+        # both ends are strictly increasing (no token is empty): common ends by a sorted search
+        at = np.minimum(np.searchsorted(end_b, end_a), len(end_b) - 1)
+        shared = end_b[at] == end_a
+        cuts = end_a[shared]
+        last_a, last_b = np.flatnonzero(shared) + 1, at[shared] + 1
+        words_a = self.name_a[","][a]
+        words_a[last_a - 1] = self.name_a["|"][a[last_a - 1]]
+        words_b = self.name_b[","][b]
+        words_b[last_b - 1] = self.name_b[";"][b[last_b - 1]]
+        words_b[-1] = self.name_b[""][b[-1]]
         group_a = np.searchsorted(last_a, np.arange(len(a)), "right")
         group_b = np.searchsorted(last_b, np.arange(len(b)), "right")
         order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
-        words = np.concatenate([a.astype(str).astype(object), b.astype(str).astype(object)])[order]
-        seps = np.concatenate([sep_a, sep_b])[order]
-        digest = hashlib.sha256("".join(map(add, words, seps)).encode()).hexdigest()
-        # mostly one token of each ends at a cut: those pairs are counted at once, the rest one by one
-        single = (last_a - first_a == 1) & (last_b - first_b == 1)
-        keys, counts = np.unique(a[first_a[single]] << 32 | b[first_b[single]], return_counts=True)
-        links = Counter({(int(k >> 32), int(k & 0xFFFFFFFF)): int(n) for k, n in zip(keys, counts)})
-        for fa, la, fb, lb in zip(first_a[~single], last_a[~single], first_b[~single], last_b[~single]):
-            for x in a[fa:la]:
-                for y in b[fb:lb]:
-                    links[(int(x), int(y))] += 1
-        return (len(a), len(b), len(cuts), sum(links.values()), digest, [{"a": x, "b": y, "m": m} for (x, y), m in links.items()])
+        digest = hashlib.sha256(b"".join(np.concatenate([words_a, words_b])[order])).hexdigest()
+        # a link: the A and the B token that end at one cut
+        keys, counts = np.unique(a[last_a - 1] << 32 | b[last_b - 1], return_counts=True)
+        return (len(a), len(b), len(cuts), len(cuts), digest, (keys >> 32).tolist(), (keys & 0xFFFFFFFF).tolist(), counts.tolist())
+
+
+NONE = (0, 0, 0, 0, "", [], [], [])
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -98,7 +103,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for b in batches:
             align = align or Aligner(path_a, path_b)
             got = align(b.column("text").to_pylist())
-            yield {"row": b.column("row"), "doc_id": b.column("doc_id"), **{k: [g[i] for g in got] for i, k in enumerate(("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"))}}
+            names = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "link_a", "link_b", "link_m")
+            yield {"row": b.column("row"), "doc_id": b.column("doc_id"), **{k: [g[i] for g in got] for i, k in enumerate(names)}}
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     return map_batches(rows, DOCS, work)
@@ -127,7 +133,8 @@ def alignment(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     count is the highest of its B id (ties all count). An empty table gives no rows.
     """
     rows = staged(aligned(docs.select("doc_id", "text"), path_a, path_b), "aligned")
-    postings = rows.select("row", F.explode("links").alias("l")).select("row", "l.a", "l.b", "l.m")
+    links = F.arrays_zip(F.col("link_a").alias("a"), F.col("link_b").alias("b"), F.col("link_m").alias("m"))
+    postings = rows.select("row", F.explode(links).alias("l")).select("row", "l.a", "l.b", "l.m")
     pairs = staged(pair_counts(postings), "pairs")
     best = pairs.groupBy("b").agg(F.max("links").alias("top"))
     scored = pairs.join(best, "b").select("a", "b", "links", (F.col("links") == F.col("top")).alias("is_best"))
@@ -136,7 +143,7 @@ def alignment(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     per_row = postings.join(scored, ["a", "b"]).groupBy("row").agg(
         F.sum(F.when(F.col("is_best"), F.col("m")).otherwise(0)).alias("n_best"), F.sum(F.col("m") * F.col("links")).alias("count_sum")
     )
-    out = rows.drop("links").join(per_row, "row", "left")
+    out = rows.drop("link_a", "link_b", "link_m").join(per_row, "row", "left")
     return out.select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links",
         F.coalesce("n_best", F.lit(0)).cast("long").alias("n_best"), F.coalesce("count_sum", F.lit(0)).cast("long").alias("count_sum"), "groups_sha256",

@@ -53,7 +53,7 @@ class Encoder:
     remembered is bounded by ``remembered`` bytes, then forgotten.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED_BYTES):
+    def __init__(self, path: str, remembered: int = REMEMBERED_BYTES, special: bool = True):
         import regex
 
         from adlake.llm.bpe import Merger
@@ -61,7 +61,8 @@ class Encoder:
 
         self.path, self.library = path, None
         self.merger, self.pattern = Merger(path), regex.compile(PATTERN)
-        self.cut, self.special = Counter.pieces, SPECIAL
+        # ``special``: the special string is one token, as the library has it by default; else plain text
+        self.cut, self.special = Counter.pieces, SPECIAL if special else None
         # ``heads``: first pieces of texts, as they are; ``spaced``: later pieces p, standing for " " + p
         self.heads: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
@@ -92,10 +93,21 @@ class Encoder:
             known[k] = data[4 * lo : 4 * hi]
         self.size += len(data) + sum(map(len, pieces)) + 100 * len(pieces)
 
+    def with_space(self, texts: list[str]) -> list[bytes]:
+        """The ids of a space and each text. Where the text begins with a character that is not white
+        space, its first piece is a spaced piece like the others; other texts are encoded with their space."""
+        if self.size > self.remembered:
+            self.heads, self.spaced, self.size = {}, {}, 0
+        cut = [self.cut(None, t) if t and not t[0].isspace() and not (self.special and self.special in t) else None for t in texts]
+        self._learn(self.spaced, list(set(chain.from_iterable(c for c in cut if c is not None)).difference(self.spaced)), " ")
+        odd = [" " + t for t, c in zip(texts, cut) if c is None]
+        done = iter(self(odd)) if odd else iter(())
+        return [next(done) if c is None else b"".join(map(self.spaced.__getitem__, c)) for c in cut]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if self.size > self.remembered:
             self.heads, self.spaced, self.size = {}, {}, 0
-        cut = [None if self.special in t else self.cut(None, t) for t in texts]
+        cut = [None if self.special and self.special in t else self.cut(None, t) for t in texts]
         self._learn(self.heads, list({c[0] for c in cut if c is not None}.difference(self.heads)), "")
         self._learn(self.spaced, list(set(chain.from_iterable(c[1:] for c in cut if c is not None)).difference(self.spaced)), " ")
         return [self.whole(t) if c is None else self.heads[c[0]] + b"".join(map(self.spaced.__getitem__, c[1:])) for t, c in zip(texts, cut)]
