@@ -32,10 +32,12 @@ def creative_report(
     """
     known = sets.only_known(products.select("campaign_id", "item_group_id"), campaigns, ["campaign_id"])
     active = enrich.drop_idle(creatives)
+    # the creatives' texts come first and the campaigns' columns last: the shuffles of the large joins
+    # then carry ids and metrics, and not what the joins after them add to every row
     rows = known.join(active, ["campaign_id", "item_group_id"])
-    rows = rows.join(campaigns, "campaign_id")
-    rows = enrich.join_catalog(rows, catalog, "item_group_id", "seq")
     rows = rows.join(metadata, ["campaign_id", "item_group_id", "item_id"], "left")
+    rows = enrich.join_catalog(rows, catalog, "item_group_id", "seq")
+    rows = rows.join(campaigns, "campaign_id")
     context = [c for c in CONTEXT if c in campaigns.columns]
     return rows.select(
         *context,
