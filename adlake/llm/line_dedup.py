@@ -175,7 +175,9 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     cuts = staged(line_cuts(docs, min_words), "cuts").where(F.size("cut") > 0)
     cuts = cuts.select(F.col("doc_id").alias("__id"), F.col("tk").alias("__tk"), F.col("cut").alias("__lines"))
     on = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__tk"))
-    rows = docs.join(cuts, on, "left").drop("__id", "__tk")
+    # texts and cuts meet by a shuffle at every size: with small cuts sent to all tasks instead, small
+    # inputs would move no texts and larger ones all of them, and nothing measured small would tell
+    rows = docs.join(cuts.hint("merge"), on, "left").drop("__id", "__tk")
     kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(F.col("__lines"), i))
     text = F.when(F.col("__lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return rows.withColumn("text", text).withColumn("__cut", F.coalesce(F.size("__lines"), F.lit(0))).withColumn("__cut", F.greatest("__cut", F.lit(0))).drop("__lines")
