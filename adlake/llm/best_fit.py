@@ -86,7 +86,7 @@ class Encoder:
                 cut = self.pattern.findall(space + x)
                 sizes[i] = len(cut)
                 tokens += cut
-        counts, flat = self.merger([t.encode("utf-8", "surrogatepass") for t in tokens], symbols=True)
+        counts, flat = self.merger(list(map(str.encode, tokens)), symbols=True)
         ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
         data = flat.astype("<u4").tobytes()
         for k, lo, hi in zip(pieces, ends[:-1].tolist(), ends[1:].tolist()):

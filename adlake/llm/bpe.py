@@ -15,6 +15,8 @@ import numpy as np
 from adlake.llm.common import ragged
 
 NONE = np.int32(2**31 - 1)
+#: Pre-tokens merged together: their arrays stay in a core's cache.
+BLOCK = 1 << 13
 
 
 def byte_letters() -> list[str]:
@@ -77,7 +79,7 @@ class Merger:
         self.inner = np.array([vocab[x] for x in letters], np.int32)
         self.last = np.array([vocab[x + suffix] for x in letters], np.int32)
 
-    def __call__(self, pretokens: list[bytes], symbols: bool = False, block: int = 1 << 17):
+    def __call__(self, pretokens: list[bytes], symbols: bool = False, block: int = BLOCK):
         """Symbols per pre-token; with ``symbols`` also all symbols in order, flat."""
         counts, flat = [], []
         for at in range(0, len(pretokens), block):
