@@ -8,8 +8,10 @@ left of a shard is cut into sequences whose lengths are powers of two, which nee
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 from math import ceil
 from zlib import crc32
 
@@ -22,34 +24,85 @@ from adlake.llm.common import map_batches, ragged, staged
 
 WINDOW = 2048
 SHARD_DOCS = 512
-REMEMBERED = 400_000
+#: Bytes of token ids (and their pieces) one task remembers at most.
+REMEMBERED_BYTES = 64_000_000
+#: Characters of the texts one task cuts into pieces at a time; a longer text is a group of its own.
+GROUP_CHARS = 1 << 20
+#: Pieces handed to the tokenizer library at a time.
+LIBRARY_PIECES = 2048
 SPACE = re.compile(r"[ \t\n\r]+")
+#: The vocabulary's pre-token pattern, for lower-cased ASCII without white space.
+PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class Encoder:
-    """Token ids of texts, encoded piece by piece between white space, which this vocabulary drops."""
+    """Token ids of texts, encoded piece by piece between white space, which this vocabulary drops.
 
-    def __init__(self, path: str):
+    Pieces of plain Latin letters and printable ASCII are lower-cased, cut into pre-tokens and merged
+    together by the rank-synchronous merger (``bpe.Merger``), which gives the library's ids; all other pieces go
+    to the library, some thousand at a time, as what it returns for a piece is hundreds of times the
+    piece. Ids are remembered as bytes, up to ``remembered`` bytes with their pieces, then forgotten;
+    texts are encoded in groups of bounded size, so memory depends on neither.
+    """
+
+    def __init__(self, path: str, remembered: int = REMEMBERED_BYTES, group: int = GROUP_CHARS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, texts: list[str], end: int) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        cut = [[p for p in SPACE.split(t) if p] for t in texts]
-        new = list({p for parts in cut for p in parts if p not in self.known})
-        for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[p] = tuple(e.ids)
-        out = []
-        for parts in cut:
-            ids: list[int] = []
-            for p in parts:
-                ids += self.known[p]
-            ids.append(end)
-            out.append(np.array(ids, np.uint32))
+        from adlake.llm.bpe import Merger
+
+        self.library, self.merger = Tokenizer.from_file(path), Merger(path)
+        self.known: dict[str, bytes] = {}
+        self.size, self.remembered, self.group = 0, remembered, group
+
+    def pretokens(self, piece: str) -> list[str] | None:
+        """The pre-tokens of a piece that needs no library: NFC and the lower case of each letter by itself leave no doubt."""
+        if piece.isalpha() and (piece.isascii() or (max(piece) < "\u0250" and "\u0130" not in piece)):
+            return [piece.lower()]
+        if piece.isascii() and piece.isprintable() and "<|" not in piece:
+            return PRETOKEN.findall(piece.lower())
+        return None
+
+    def learn(self, pieces: list[str]) -> None:
+        plain, sizes, tokens, other = [], [], [], []
+        for p in pieces:
+            cut = self.pretokens(p)
+            if cut is None:
+                other.append(p)
+            else:
+                plain.append(p)
+                sizes.append(len(cut))
+                tokens += cut
+        counts, flat = self.merger(list(map(str.encode, tokens)), symbols=True)
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])] * 4
+        data = flat.astype("<u4").tobytes()
+        for p, lo, hi in zip(plain, ends[:-1].tolist(), ends[1:].tolist()):
+            self.known[p] = data[lo:hi]
+        self.size += len(data)
+        for at in range(0, len(other), LIBRARY_PIECES):
+            part = other[at : at + LIBRARY_PIECES]
+            for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[p] = np.array(e.ids, "<u4").tobytes()
+                self.size += len(self.known[p])
+        self.size += sum(map(len, pieces)) + 150 * len(pieces)
+
+    def __call__(self, texts: list[str], end: int) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit numbers, the end id last."""
+        tail = np.array([end], "<u4").tobytes()
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            to, chars = at, 0
+            while to < len(texts) and (to == at or chars + len(texts[to]) <= self.group):
+                chars += len(texts[to])
+                to += 1
+            if self.size > self.remembered:
+                self.known, self.size = {}, 0
+            cut = [[p for p in SPACE.split(t) if p] for t in texts[at:to]]
+            self.learn(list(set(chain.from_iterable(cut)).difference(self.known)))
+            out += [b"".join(map(self.known.__getitem__, parts)) + tail for parts in cut]
+            at = to
         return out
 
 
@@ -61,7 +114,7 @@ def encoded(docs: DataFrame, path: str, end: int) -> DataFrame:
         for b in batches:
             encode = encode or Encoder(path)
             ids = encode(b.column("text").to_pylist(), end)
-            yield {"row": b.column("row"), "doc_id": b.column("doc_id"), "ids": [x.astype("<u4").tobytes() for x in ids]}
+            yield {"row": b.column("row"), "doc_id": b.column("doc_id"), "ids": ids}
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return map_batches(rows, "row long, doc_id long, ids binary", work)
