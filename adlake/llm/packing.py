@@ -30,7 +30,6 @@ REMEMBERED_BYTES = 64_000_000
 GROUP_CHARS = 1 << 20
 #: Pieces handed to the tokenizer library at a time.
 LIBRARY_PIECES = 2048
-SPACE = re.compile(r"[ \t\n\r]+")
 #: The vocabulary's pre-token pattern, for lower-cased ASCII without white space.
 PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -67,6 +66,11 @@ class Encoder:
     def learn(self, pieces: list[str]) -> None:
         plain, sizes, tokens, other = [], [], [], []
         for p in pieces:
+            if p.isalpha() and p.isascii():  # most pieces
+                plain.append(p)
+                sizes.append(1)
+                tokens.append(p.lower())
+                continue
             cut = self.pretokens(p)
             if cut is None:
                 other.append(p)
@@ -99,7 +103,7 @@ class Encoder:
                 to += 1
             if self.size > self.remembered:
                 self.known, self.size = {}, 0
-            cut = [[p for p in SPACE.split(t) if p] for t in texts[at:to]]
+            cut = [list(filter(None, t.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" "))) for t in texts[at:to]]
             self.learn(list(set(chain.from_iterable(cut)).difference(self.known)))
             out += [b"".join(map(self.known.__getitem__, parts)) + tail for parts in cut]
             at = to
