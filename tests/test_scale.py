@@ -5,6 +5,7 @@ import json
 
 from conftest import ts
 
+from adlake.operators import latest
 from adlake.plans import shop, silver, specs
 from adlake.plans.build import Warehouse
 from adlake.schemas import RAW
@@ -41,6 +42,57 @@ def test_landing_partitions_are_bounded_by_the_bytes_they_come_from(spark, tmp_p
     assert raw.count() == 5000
 
 
+def landing(spark, *rows):
+    return spark.createDataFrame([(j, ts(c), d if isinstance(d, str) else json.dumps(d)) for j, c, d in rows], RAW)
+
+
+def exchanged(df):
+    """What the exchange below the newest step carries."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning(k_" in line)
+    return next(line for line in plan[at:] if " Project [" in line)
+
+
+def test_daily_models_shuffle_typed_columns_not_documents(spark):
+    raw = landing(spark, ("j", "2025-01-02", {"campaign_id": "c", "date_start": "2025-01-01"}))
+    carried = exchanged(silver.daily(silver.settled(raw), specs.CAMPAIGN))
+    assert "document#" in carried and " data#" not in carried and "AS comment_count#" in carried
+    regions = exchanged(silver.daily(silver.settled(raw), specs.LOCATION).select("region", "country"))
+    assert "AS country#" in regions and "comment_count#" not in regions
+
+
+def test_documents_settle_the_versions_that_share_a_job_and_no_others(spark, rows):
+    doc = lambda key, spend: {"campaign_id": key, "date_start": "2025-01-01", "spend": spend}
+    raw = landing(
+        spark, ("j1", "2025-01-02", doc("c", "3")), ("j1", "2025-01-02", doc("c", "7")), ("j1", "2025-01-02", doc("d", "5")),
+        ("j2", "2025-01-02", doc("e", "1")), ("j3", "2025-01-03", doc("e", "2")), (None, "2025-01-02", doc("f", "8")), (None, "2025-01-02", doc("f", "9")),
+    )
+    kept = {r["data"]: r["document"] for r in rows(silver.settled(raw))}
+    assert sorted(d is not None for d in kept.values()) == [False] * 2 + [True] * 5
+    want = {"c": 7.0, "d": 5.0, "e": 2.0, "f": 9.0}
+    for listed in (0, 1, 100):
+        some = latest.with_deciding_text(raw, ["created_at", "job_id"], "data", "document", listed)
+        assert {r["campaign_id"]: r["spend"] for r in rows(silver.daily(some, specs.CAMPAIGN))} == want
+    assert {r["campaign_id"]: r["spend"] for r in rows(silver.daily(raw, specs.CAMPAIGN))} == want
+
+
+def test_broken_documents_are_grouped_by_their_key_fields_read_alone(spark, rows):
+    cut = '{"account_id":"a","date_start":"2025-01-01","actions":[{"action_type":"comment","value":"1"},{"action_type"::}]}'
+    raw = landing(spark, ("j1", "2025-01-02", {"account_id": "a", "date_start": "2025-01-01", "spend": "1"}), ("j2", "2025-01-03", cut))
+    got = [(r["surrogate_key"], r["account_id"], r["job_id"], r["spend"]) for r in rows(silver.daily(raw, specs.ACCOUNT), "job_id")]
+    # the broken one is no version of the other
+    assert got == [("a_2025-01-01", "a", "j1", 1.0), ("a_2025-01-01", "a", "j2", 0.0)]
+
+
+def test_strict_dates_are_asked_of_the_newest_row_only(spark, rows):
+    raw = landing(
+        spark, ("j1", "2025-01-02", {"campaign_id": "c", "date_start": "2025-01-01", "date_stop": "soon"}),
+        ("j2", "2025-01-03", {"campaign_id": "c", "date_start": "2025-01-01", "date_stop": "2025-01-01"}),
+    )
+    got = rows(silver.daily(raw, specs.CAMPAIGN, strict_dates=True))
+    assert [str(r["date_stop"]) for r in got] == ["2025-01-01"]
+
+
 def test_campaign_columns_are_joined_last(spark):
     campaigns = spark.createDataFrame([("c", "N", "ENABLE", "adv")], "campaign_id string, campaign_name string, operation_status string, advertiser_id string")
     lines = spark.createDataFrame([("c", "g", "i", "1", "1")], "campaign_id string, item_group_id string, item_id string, cost string, orders string")
