@@ -216,8 +216,10 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     pivots = member.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("bucket", "a")
     shared = staged(member.join(pivots, "bucket").select("bucket", "a", F.col("id").alias("b")), "buckets")
     needed = shared.select(F.col("b").alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), words(F.col("text")).alias("__w")).where("size(__w) > 0").join(needed, "id")
-    texts = staged(texts.groupBy("id").agg(F.min("__w").alias("__w")).select("id", shingles(F.col("__w")).alias("sh")), "texts")
+    # texts move, not their words, which take several times the room; by a shuffle at every size, so that a small input tells of a large one
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(needed.hint("merge"), "id").select("id", words(F.col("text")).alias("__w"))
+    texts = texts.groupBy("id").agg(F.min(F.when(F.size("__w") > 0, F.col("__w"))).alias("__w")).where("__w is not null")
+    texts = staged(texts.select("id", shingles(F.col("__w")).alias("sh")), "texts")
     first = staged(verified(shared.where("a < b").select("a", "b").distinct(), texts, similarity), "links")
     roots = components(first)
     place = placed(shared, roots)

@@ -5,6 +5,7 @@ import json
 
 from conftest import ts
 
+from adlake.llm import near_dup
 from adlake.operators import latest
 from adlake.plans import shop, silver, specs
 from adlake.plans.build import Warehouse
@@ -102,3 +103,18 @@ def test_campaign_columns_are_joined_last(spark):
     outermost = next(line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line)
     assert outermost.count("campaign_id") == 2 and "item_group_id" not in outermost
     assert out.count() == 1
+
+
+def test_near_duplicates_move_texts_by_a_shuffle(spark, monkeypatch):
+    seen, staged = {}, near_dup.staged
+
+    def note(df, name):
+        seen.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, name)
+
+    monkeypatch.setattr(near_dup, "staged", note)
+    text = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, text), (2, text + " nine"), (2, ""), (3, "other words are here for you")], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs, 0.7).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+    assert "SortMergeJoin" in seen["texts"] and "BroadcastHashJoin" not in seen["texts"]
