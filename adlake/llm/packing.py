@@ -11,7 +11,8 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from functools import cached_property
+from itertools import chain, pairwise
 from math import ceil
 from zlib import crc32
 
@@ -20,94 +21,163 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.llm.bpe import BLOCK, Merger
 from adlake.llm.common import map_batches, ragged, staged
+from adlake.llm.pretokens import HARD, KEY_BYTES, WordTable, grown, pretokens, word_keys
 
 WINDOW = 2048
 SHARD_DOCS = 512
 #: Bytes of token ids (and their pieces) one task remembers at most.
 REMEMBERED_BYTES = 64_000_000
-#: Characters of the texts one task cuts into pieces at a time; a longer text is a group of its own.
-GROUP_CHARS = 1 << 20
+#: Characters of the texts one task cuts into pre-tokens at a time; only a longer run without white space is a group of its own.
+GROUP_CHARS = 1 << 19
 #: Pieces handed to the tokenizer library at a time.
 LIBRARY_PIECES = 2048
-#: The vocabulary's pre-token pattern, for lower-cased ASCII without white space.
-PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+WHITE = re.compile("[ \t\n\r]")
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class Encoder:
-    """Token ids of texts, encoded piece by piece between white space, which this vocabulary drops.
-
-    Pieces of plain Latin letters and printable ASCII are lower-cased, cut into pre-tokens and merged
-    together by the rank-synchronous merger (``bpe.Merger``), which gives the library's ids; all other pieces go
-    to the library, some thousand at a time, as what it returns for a piece is hundreds of times the
-    piece. Ids are remembered as bytes, up to ``remembered`` bytes with their pieces, then forgotten;
-    texts are encoded in groups of bounded size, so memory depends on neither.
+    """Token ids of texts; the text between two places of white space is a piece, and white space gives no ids.
+
+    The pre-tokens of many texts are found together, in arrays of bytes. Those of up to ``KEY_BYTES``
+    bytes are looked up in an array table, longer ones in a dict; only new ones are merged, together,
+    by the rank-synchronous merger (``bpe.Merger``), which gives the library's ids. Pieces with
+    characters whose normal form or lower case is in doubt go to the library whole, some thousand at
+    a time, as what it returns for a piece is hundreds of times the piece. What is remembered is
+    dropped once it takes more than ``remembered`` bytes; texts are encoded in groups of about
+    ``group`` characters, cut at white space, so memory depends on neither.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED_BYTES, group: int = GROUP_CHARS):
+        self.path, self.merger = path, Merger(path)
+        self.remembered, self.group = remembered, group
+        self.forget()
+
+    @cached_property
+    def library(self):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        from adlake.llm.bpe import Merger
-
-        self.library, self.merger = Tokenizer.from_file(path), Merger(path)
-        self.known: dict[str, bytes] = {}
-        self.size, self.remembered, self.group = 0, remembered, group
-
-    def pretokens(self, piece: str) -> list[str] | None:
-        """The pre-tokens of a piece that needs no library: NFC and the lower case of each letter by itself leave no doubt."""
-        if piece.isalpha() and (piece.isascii() or (max(piece) < "\u0250" and "\u0130" not in piece)):
-            return [piece.lower()]
-        if piece.isascii() and piece.isprintable() and "<|" not in piece:
-            return PRETOKEN.findall(piece.lower())
-        return None
-
-    def learn(self, pieces: list[str]) -> None:
-        plain, sizes, tokens, other = [], [], [], []
-        for p in pieces:
-            if p.isalpha() and p.isascii():  # most pieces
-                plain.append(p)
-                sizes.append(1)
-                tokens.append(p.lower())
-                continue
-            cut = self.pretokens(p)
-            if cut is None:
-                other.append(p)
-            else:
-                plain.append(p)
-                sizes.append(len(cut))
-                tokens += cut
-        counts, flat = self.merger(list(map(str.encode, tokens)), symbols=True)
-        ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])] * 4
-        data = flat.astype("<u4").tobytes()
-        for p, lo, hi in zip(plain, ends[:-1].tolist(), ends[1:].tolist()):
-            self.known[p] = data[lo:hi]
-        self.size += len(data)
-        for at in range(0, len(other), LIBRARY_PIECES):
-            part = other[at : at + LIBRARY_PIECES]
-            for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
-                self.size += len(self.known[p])
-        self.size += sum(map(len, pieces)) + 150 * len(pieces)
+        return Tokenizer.from_file(self.path)
+
+    def forget(self) -> None:
+        self.words = WordTable()
+        self.known: dict[bytes, int] = {}  # entries of longer pre-tokens and of the library's pieces
+        self.known_size, self.used = 0, 0
+        self.ids = np.zeros(1 << 12, np.uint32)
+        self.first, self.count = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+
+    def size(self) -> int:
+        return self.words.nbytes() + self.known_size + self.ids.nbytes + self.first.nbytes + self.count.nbytes
+
+    def store(self, entries: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
+        """The ids of new entries, one after the other in ``flat``."""
+        if not len(entries):
+            return
+        top = int(entries[-1]) + 1
+        self.first, self.count = grown(self.first, top), grown(self.count, top)
+        self.ids = grown(self.ids, self.used + len(flat))
+        self.first[entries], self.count[entries] = self.used + np.cumsum(counts) - counts, counts
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+
+    def merge(self, entries: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> None:
+        """Stores the ids of new pre-tokens that lie one after the other in ``data``."""
+        ends = np.cumsum(sizes)
+        for at in range(0, len(sizes), BLOCK):
+            part = sizes[at : at + BLOCK]
+            lo, hi = int(ends[at] - sizes[at]), int(ends[at + len(part) - 1])
+            self.store(entries[at : at + BLOCK], *self.merger.rows(data[lo:hi], part, True))
+
+    def ask(self, entries: np.ndarray, pieces: list[bytes]) -> None:
+        """Stores the library's ids of new pieces."""
+        for at in range(0, len(pieces), LIBRARY_PIECES):
+            got = self.library.encode_batch_fast([p.decode() for p in pieces[at : at + LIBRARY_PIECES]], add_special_tokens=False)
+            ids = [e.ids for e in got]
+            self.store(entries[at : at + LIBRARY_PIECES], np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint32))
+
+    def short(self, low: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The entries of pre-tokens that the table can hold."""
+        keys = word_keys(low, start, size)
+        out = self.words.find(keys)
+        new = np.flatnonzero(out == 0)
+        order = new[np.lexsort([k[new] for k in keys])]
+        head = np.ones(len(order), bool)
+        head[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
+        one = order[head]
+        entries = self.words.add([k[one] for k in keys])
+        self.merge(entries, low[ragged(start[one], size[one])], size[one])
+        out[order] = entries[np.cumsum(head) - 1]
+        return out
+
+    def other(self, data: bytes, start: np.ndarray, size: np.ndarray, whole: bool) -> list[int]:
+        """The entries of longer pre-tokens or, if ``whole``, of pieces for the library."""
+        keys = [data[a : a + n] for a, n in zip(start.tolist(), size.tolist())]
+        new = [k for k in dict.fromkeys(keys) if k not in self.known]
+        entries = self.words.reserve(len(new))
+        self.known.update(zip(new, entries.tolist()))
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        self.known_size += int(sizes.sum()) + 150 * len(new)
+        if whole:
+            self.ask(entries, new)
+        else:
+            self.merge(entries, np.frombuffer(b"".join(new), np.uint8), sizes)
+        return [self.known[k] for k in keys]
+
+    def cut(self, texts: list[str]) -> Iterator[tuple[int, str]]:
+        """The texts with their numbers; one longer than a group in several parts that end at white space."""
+        for n, t in enumerate(texts):
+            at = 0
+            while len(t) - at > self.group:
+                gap = WHITE.search(t, at + self.group)
+                if gap is None:
+                    break
+                yield n, t[at : gap.end()]
+                at = gap.end()
+            yield n, t[at:] if at else t
+
+    def parts(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids, of texts encoded together."""
+        if self.size() > self.remembered:
+            self.forget()
+        raw = list(map(str.encode, texts))
+        data = b"\n".join([*raw, b"\n" * (KEY_BYTES + 1)])
+        low, start, size, kind = pretokens(data)
+        entry = np.zeros(len(start), np.int64)
+        at = np.flatnonzero((size <= KEY_BYTES) & (kind != HARD))
+        entry[at] = self.short(low, start[at], size[at])
+        # the library gets a piece as it was, as special tokens are found before the text is lower-cased
+        for at, source in ((np.flatnonzero((size > KEY_BYTES) & (kind != HARD)), low.tobytes()), (np.flatnonzero(kind == HARD), data)):
+            entry[at] = self.other(source, start[at], size[at], source is data)
+        counts = self.count[entry]
+        flat = self.ids[ragged(self.first[entry], counts)].astype("<u4", copy=False).tobytes()
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+        places = 4 * np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(start, np.concatenate([[0], ends]))]
+        return [flat[lo:hi] for lo, hi in pairwise(places.tolist())]
 
     def __call__(self, texts: list[str], end: int) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers, the end id last."""
+        out: list[list[bytes]] = [[] for _ in texts]
+
+        def flush() -> None:
+            for n, ids in zip(numbers, self.parts(group)):
+                out[n].append(ids)
+
+        numbers: list[int] = []
+        group: list[str] = []
+        chars = 0
+        for n, t in self.cut(texts):
+            if group and chars + len(t) > self.group:
+                flush()
+                numbers, group, chars = [], [], 0
+            numbers.append(n)
+            group.append(t)
+            chars += len(t)
+        if group:
+            flush()
         tail = np.array([end], "<u4").tobytes()
-        out: list[bytes] = []
-        at = 0
-        while at < len(texts):
-            to, chars = at, 0
-            while to < len(texts) and (to == at or chars + len(texts[to]) <= self.group):
-                chars += len(texts[to])
-                to += 1
-            if self.size > self.remembered:
-                self.known, self.size = {}, 0
-            cut = [list(filter(None, t.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" "))) for t in texts[at:to]]
-            self.learn(list(set(chain.from_iterable(cut)).difference(self.known)))
-            out += [b"".join(map(self.known.__getitem__, parts)) + tail for parts in cut]
-            at = to
-        return out
+        return [b"".join([*parts, tail]) for parts in out]
 
 
 def encoded(docs: DataFrame, path: str, end: int) -> DataFrame:
