@@ -4,12 +4,14 @@ import datetime as dt
 import json
 
 from conftest import ts
+from pyspark.sql import functions as F
 
 from adlake.llm import near_dup
 from adlake.operators import latest
 from adlake.plans import shop, silver, specs
 from adlake.plans.build import Warehouse
 from adlake.schemas import RAW
+from adlake.sources import landing as lands
 from adlake.workload import derive
 
 
@@ -94,6 +96,17 @@ def test_strict_dates_are_asked_of_the_newest_row_only(spark, rows):
     assert [str(r["date_stop"]) for r in got] == ["2025-01-01"]
 
 
+def test_documents_are_made_after_landing_rows_were_moved_and_sorted(spark, rows, tmp_path):
+    lines = spark.createDataFrame([(f"j{n}", ts(f"2025-0{n % 3 + 1}-02"), n) for n in range(9)], "job_id string, created_at timestamp, n int")
+    document = F.to_json(F.struct("n"))
+    plan = lands.arranged(lines, "MM", many_days=True, document=document)._jdf.queryExecution().executedPlan().toString()
+    made, moved = plan.index("StructsToJson"), min(plan.index("Sort ["), plan.index("Exchange "))
+    assert made < moved and "StructsToJson" not in plan[moved:]
+    assert lands.append_raw(str(tmp_path), "t", lines, grain="MM", many_days=True, document=document) == 9
+    want = [(f"j{n}", ts(f"2025-0{n % 3 + 1}-02"), f'{{"n":{n}}}') for n in range(9)]
+    assert [tuple(r.values()) for r in rows(lands.read_raw(spark, str(tmp_path), "t"), "job_id")] == want
+
+
 def test_campaign_columns_are_joined_last(spark):
     campaigns = spark.createDataFrame([("c", "N", "ENABLE", "adv")], "campaign_id string, campaign_name string, operation_status string, advertiser_id string")
     lines = spark.createDataFrame([("c", "g", "i", "1", "1")], "campaign_id string, item_group_id string, item_id string, cost string, orders string")
