@@ -131,3 +131,27 @@ def test_near_duplicates_move_texts_by_a_shuffle(spark, monkeypatch):
     got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs, 0.7).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
     assert "SortMergeJoin" in seen["texts"] and "BroadcastHashJoin" not in seen["texts"]
+
+
+def test_a_model_asked_for_some_columns_gives_those_of_the_whole_model(spark, rows):
+    spec, keys = specs.AD, ("surrogate_key", "job_id", "created_at", "ad_id", "campaign_name", "date_stop")
+    day = {"date_start": "2025-01-01", "date_stop": "2025-01-02"}
+    documents = [
+        {"ad_id": "a", "campaign_name": "N", **day}, {"id": "b", "campaign_name": 5, **day}, {"ad_id": "", "id": "c", "campaign_name": None, **day},
+        {"ad_id": {"x": [1, "y"]}, "campaign_name": [1, 2.50], **day}, {"ad_id": "d", **day, "actions": "none"}, {"ad_id": "e", **day, "actions": [1, {"action_type": 2}]},
+        {"ad_id": "f", **day, "actions": {"action_type": "comment", "value": "1"}}, {"ad_id": "g", "date_start": "no day", "date_stop": "none"},
+        '{"ad_id":"h","date_start":"2025-01-01","actions":[{"action_type":"comment","value":"1"},{"action_type"::}],"campaign_name":"late"}',
+        '{"ad_id":"i","date_start":"2025-01-01"', '{"ad_id":"j","ad_id":"k","date_start":"2025-01-01"}', '{"ad_id":"l","date_start":"2025-01-01","spend":01}',
+        '[{"ad_id":"m","date_start":"2025-01-01"},{"ad_id":"n"}]', "[]", "{}", "", "no json", "5", '"text"', '{"ad_id":"o\\\\q","date_start":"2025-01-01"}', None,
+    ]
+    texts = [d if d is None or isinstance(d, str) else json.dumps(d) for d in documents]
+    raw = spark.createDataFrame([(f"j{i % 3}", ts(f"2025-01-{i % 5 + 1:02}"), d) for i, d in enumerate(texts * 2)], RAW)
+    for some in (keys, ("surrogate_key",), ("job_id", "created_at", "account_name"), ("ad_id", "spend")):
+        got = silver.settled_daily(raw, spec, some)
+        assert got.columns == [c for c in silver.daily(raw, spec).columns if c in some]
+        assert rows(got, *got.columns) == rows(silver.daily(raw, spec).select(*got.columns), *got.columns)
+    one = [rows(silver.daily(raw.filter(F.col("data") == d), spec, columns=keys)) for d in texts if d is not None]
+    assert one == [rows(silver.daily(raw.filter(F.col("data") == d), spec).select(*keys)) for d in texts if d is not None]
+    plan = silver.daily(raw, spec, columns=keys)._jdf.queryExecution().optimizedPlan().toString()
+    first = next(line for line in reversed(plan.splitlines()) if "from_json" in line)
+    assert "campaign_name" in first and "actions" not in first
